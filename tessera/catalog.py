@@ -1,6 +1,728 @@
-"""Named queries over the driver's tables, each with its SQL where SQL can say it."""
+"""Named queries over the driver's tables, each with its SQL where SQL can say it.
+
+The tables hold no business records, so ``documents`` stands for them: the id
+modulo 3 names the source (every row is used), the first line is the name, the
+rest the address, the language the country. Truth is equality of whole texts.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions import fixed, fuzzy, text, translit
+from tessera.operators import constraints, decide, fuse, learn, pairs, profile, reshape, retrieve
+from tessera.session import cut
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# Entities
+
+_BLANKS = "[ \\t\\n\\r\\f]+"
+
+
+def entities(spark: SparkSession, sf: str) -> DataFrame:
+    whole = F.coalesce("text", F.lit(""))
+    name = F.substring_index(whole, "\n", 1)
+    clean = lambda c: F.trim(F.regexp_replace(F.lower(c), _BLANKS, " "))
+    return t(spark, sf, "documents").select(
+        F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
+        clean(name).alias("name"),
+        clean(F.substring(whole, F.length(name) + 2, F.length(whole))).alias("address"),
+        F.col("lang").alias("country"),
+        clean(whole).alias("clean_text"),
+    )
+
+
+def sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    e = entities(spark, sf)
+    return e.where(F.col("entity_id").startswith("S1-")), e.where(~F.col("entity_id").startswith("S1-"))
+
+
+def truth_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    q, c = sides(spark, sf)
+    key = F.sha2("clean_text", 256)
+    return q.select(F.col("entity_id").alias("source1_id"), key.alias("k")).join(c.select(F.col("entity_id").alias("matched_id"), key.alias("k")), "k").select("source1_id", "matched_id")
+
+
+_E = f"""
+raw AS (SELECT doc_id, coalesce(text, '') AS x, split_part(coalesce(text, ''), chr(10), 1) AS n, lang FROM documents),
+e AS (
+  SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id,
+    trim(regexp_replace(lower(n), '{_BLANKS}', ' ', 'g')) AS name,
+    trim(regexp_replace(lower(substr(x, length(n) + 2)), '{_BLANKS}', ' ', 'g')) AS address,
+    lang AS country, trim(regexp_replace(lower(x), '{_BLANKS}', ' ', 'g')) AS clean_text
+  FROM raw),
+q AS (SELECT * FROM e WHERE entity_id LIKE 'S1-%'), c AS (SELECT * FROM e WHERE entity_id NOT LIKE 'S1-%'),
+truth AS (SELECT q.entity_id AS source1_id, c.entity_id AS matched_id FROM q JOIN c USING (clean_text))
+"""
+_W = "WITH " + _E
+
+
+# Normalization
+
+
+@query(r"""SELECT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[ \t\n\r\f]+', ' ', 'g')) AS clean,
+  lower(trim(coalesce(text, ''))) IN ('na','n/a','null','none','nan','<null>','<na>','n.a.','nil','not available','not applicable','unknown','-','–','—') AS marker FROM documents""")
+def clean_text_basic(spark, sf):
+    c = F.col("text")
+    return t(spark, sf, "documents").select("doc_id", F.lower(text.collapse(c)).alias("clean"), text.is_marker(c).alias("marker"))
+
+
+@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace('see ' || url || ' now', 'https?://\S+', ' ', 'g'), '\s+', ' ', 'g')) AS stripped FROM pages""")
+def strip_urls(spark, sf):
+    return t(spark, sf, "pages").select("page_id", text.collapse(text.strip_urls(F.concat(F.lit("see "), F.col("url"), F.lit(" now")))).alias("stripped"))
+
+
+@query("""SELECT c_custkey, trim(replace('Contact ' || lower(replace(c_name, '#', '.')) || '@example.com today', lower(replace(c_name, '#', '.')) || '@example.com', '')) AS stripped FROM customer""")
+def strip_emails(spark, sf):
+    mail = F.concat(F.lit("Contact "), F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com today"))
+    return t(spark, sf, "customer").select("c_custkey", F.regexp_replace(F.trim(text.strip_emails(mail)), "   ", "  ").alias("stripped"))
+
+
+@query("""SELECT p_partkey, array_to_string(list_transform(string_split(p_name || ' ' || p_brand, ' '),
+  lambda x: CASE WHEN regexp_matches(x, '[A-Za-z]') AND regexp_matches(x, '[013457]') THEN translate(x, '013457', 'oieast') ELSE x END), ' ') AS repaired FROM part""")
+def leet_repair(spark, sf):
+    return t(spark, sf, "part").select("p_partkey", text.repair_leet(F.concat_ws(" ", "p_name", "p_brand")).alias("repaired"))
+
+
+@query(r"""SELECT c_custkey, array_to_string(regexp_extract_all(c_name, '\d+'), ' ') AS digits FROM customer""")
+def digit_runs(spark, sf):
+    return t(spark, sf, "customer").select("c_custkey", text.digit_runs(F.col("c_name")).alias("digits"))
+
+
+@query(r"""SELECT doc_id, regexp_extract(coalesce(text, ''), '(?:^|[^0-9])([0-9]{5,6})(?:[^0-9]|$)', 1) AS postal FROM documents""")
+def postal_code(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", text.postal_code(F.col("text")).alias("postal"))
+
+
+@query("""SELECT p_partkey, array_to_string(list_sort(string_split(p_name, ' ')), ' ') AS tokens FROM part""")
+def sorted_tokens(spark, sf):
+    return t(spark, sf, "part").select("p_partkey", text.sorted_tokens(F.col("p_name")).alias("tokens"))
+
+
+_STREET = "CASE x " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.STREET_WORDS.items()) + " ELSE x END"
+_LEGAL = "CASE x " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.LEGAL_FORMS.items()) + " ELSE x END"
+
+
+@query(f"""SELECT s_suppkey, array_to_string(list_transform(string_split(replace(lower(s_name), '#', ' ') || ' co rd', ' '), lambda x: {_STREET}), ' ') AS address,
+  array_to_string(list_transform(string_split(replace(lower(s_name), '#', ' ') || ' co rd', ' '), lambda x: {_LEGAL}), ' ') AS name FROM supplier""")
+def token_canonicalize(spark, sf):
+    c = F.concat(F.regexp_replace(F.lower("s_name"), "#", " "), F.lit(" co rd"))
+    return t(spark, sf, "supplier").select("s_suppkey", text.canonical_address(c).alias("address"), text.canonical_name(c).alias("name"))
+
+
+@query(r"""SELECT doc_id, CASE WHEN n = 0 THEN 'empty' WHEN l = n THEN 'latin' WHEN l > 0 THEN 'latin_and_non_latin' ELSE 'non_latin' END AS script
+FROM (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '\p{L}')) AS n, len(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}\x{1E00}-\x{1EFF}]')) AS l FROM documents)""")
+def script_class(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", text.script_class(F.col("text")).alias("script"))
+
+
+@query(r"""SELECT doc_id, trim(regexp_extract(coalesce(text, ''), '(?i)(?:^|[^a-zA-Z0-9])((?:opposite|behind|opp\.|near|opp)(?:[^a-zA-Z0-9,][^,]*)?)(?:,|$)', 1)) AS landmark FROM documents""")
+def landmark(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", text.landmark(F.col("text")).alias("landmark"))
+
+
+@query()
+def normalized_names(spark, sf):
+    e = entities(spark, sf)
+    return e.select("entity_id", text.normalize_name(F.col("name")).alias("name"), text.canonical_name(text.normalize_name(F.col("name"))).alias("canonical"), text.normalize_address(F.col("address")).alias("address"))
+
+
+@query()
+def transliterated(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", translit.transliterate(F.col("text")).alias("latin"))
+
+
+@query(_W + "SELECT entity_id, replace(name, ' ', '') AS key, lower(trim(country)) AS country FROM e")
+def spacefree_keys(spark, sf):
+    return entities(spark, sf).select("entity_id", text.without_spaces(F.col("name")).alias("key"), text.country(F.col("country")).alias("country"))
+
+
+# Profiles and constraints
+
+
+@query("""WITH g AS (SELECT p_name, count(*) AS size FROM part WHERE p_name <> '' GROUP BY 1 HAVING count(*) > 1 ORDER BY 2 DESC, 1 LIMIT 200),
+r AS (SELECT p_name, p_partkey, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS n FROM part)
+SELECT p_name, size, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY n) AS ids FROM g JOIN r USING (p_name) WHERE n <= 10 GROUP BY ALL""")
+def collisions(spark, sf):
+    return profile.collisions(t(spark, sf, "part"), ["p_name"], "p_partkey")
+
+
+@query("""SELECT count(*) AS groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS "rows", coalesce(max(n), 0) AS largest
+FROM (SELECT count(*) AS n FROM part WHERE p_brand <> '' AND p_type <> '' GROUP BY p_brand, p_type HAVING count(*) > 1)""")
+def collision_summary(spark, sf):
+    return profile.collision_summary(t(spark, sf, "part"), ["p_brand", "p_type"])
+
+
+@query("""SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows, count(*) AS duplicate_groups FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang HAVING count(*) > 1)""")
+def exact_duplicates(spark, sf):
+    return profile.exact_duplicates(t(spark, sf, "documents").select("text", "lang"))
+
+
+@query("SELECT c_mktsegment AS value, count(*) AS n FROM customer GROUP BY 1")
+def value_distribution(spark, sf):
+    return profile.distribution(t(spark, sf, "customer"), "c_mktsegment")
+
+
+@query("""SELECT count(*) FILTER (WHERE doc_id IS NULL) AS doc_id, count(*) FILTER (WHERE coalesce(text, '') = '') AS text, count(*) FILTER (WHERE coalesce(lang, '') = '') AS lang,
+  count(*) FILTER (WHERE coalesce(source, '') = '') AS source, count(*) FILTER (WHERE n_chars IS NULL) AS n_chars FROM documents""")
+def missing_values(spark, sf):
+    return profile.missing(t(spark, sf, "documents"))
+
+
+@query("""WITH n AS (SELECT count(*) AS n FROM part), k AS (SELECT token, count(*) AS df FROM (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS token FROM part) GROUP BY 1)
+SELECT token, df, round(ln((n + 1) / (df + 1)), 9) AS idf FROM k, n""")
+def token_statistics(spark, sf):
+    return profile.token_statistics(t(spark, sf, "part"), "p_partkey", "p_name").withColumn("idf", F.round("idf", 9))
+
+
+@query("""SELECT (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS unknown_customers,
+  (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)) AS repeated_orders,
+  (SELECT count(*) FROM customer WHERE c_name IS NULL OR NOT regexp_matches(c_name, '^Customer#[0-9]{9}$')) AS malformed_names,
+  (SELECT count(*) FROM (SELECT c_nationkey FROM customer EXCEPT SELECT n_nationkey FROM nation)) AS unknown_nations""")
+def id_constraints(spark, sf):
+    o, c, n = (t(spark, sf, x) for x in ("orders", "customer", "nation"))
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    parts = [
+        count(constraints.unknown_references(o, "o_custkey", c, "c_custkey"), "unknown_customers"),
+        count(constraints.repeated(o, "o_orderkey"), "repeated_orders"),
+        count(constraints.malformed_ids(c, "c_name", "^Customer#[0-9]{9}$"), "malformed_names"),
+        count(c.select("c_nationkey").distinct().join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left_anti"), "unknown_nations"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:  # single rows
+        out = out.crossJoin(p)
+    return out
+
+
+@query("""SELECT o_orderpriority AS k, 'left' AS side FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1) WHERE n < 0
+UNION ALL SELECT * FROM (SELECT c_mktsegment AS k, 'left' AS side FROM customer WHERE c_acctbal < 0 EXCEPT ALL SELECT c_mktsegment, 'left' FROM customer WHERE c_acctbal >= 0)
+UNION ALL SELECT * FROM (SELECT c_mktsegment AS k, 'right' AS side FROM customer WHERE c_acctbal >= 0 EXCEPT ALL SELECT c_mktsegment, 'right' FROM customer WHERE c_acctbal < 0)""")
+def set_difference(spark, sf):
+    c = t(spark, sf, "customer")
+    seg = lambda cond: c.where(cond).select(F.col("c_mktsegment").alias("k"))
+    return constraints.set_difference(seg("c_acctbal < 0"), seg("c_acctbal >= 0"))
+
+
+@query("""SELECT c_custkey AS id, c_name AS name, 'customer' AS source FROM customer UNION ALL SELECT s_suppkey, s_name, 'supplier' FROM supplier""")
+def union_sources(spark, sf):
+    c = t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("customer").alias("source"))
+    s = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit("supplier").alias("source"))
+    return reshape.union_sources(c, s)
+
+
+@query("""SELECT o_custkey, unnest(string_split(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey), ',')) AS matched_id FROM orders GROUP BY 1""")
+def explode_ids(spark, sf):
+    return reshape.explode_ids(reshape.implode_ids(t(spark, sf, "orders"), "o_custkey", "o_orderkey"), "o_custkey", "matched_ids")
+
+
+@query("""SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS matched_ids FROM orders GROUP BY 1""")
+def implode_ids(spark, sf):
+    return reshape.implode_ids(t(spark, sf, "orders"), "o_custkey", "o_orderkey")
+
+
+@query("""SELECT count(*) AS source_rows, count(*) FILTER (WHERE n = 0) AS zero_match, round(avg(n), 6) AS mean_matches, max(n) AS max_matches FROM
+(SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1)""")
+def truth_statistics(spark, sf):
+    n = t(spark, sf, "customer").join(t(spark, sf, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left").groupBy("c_custkey").agg(F.count("o_orderkey").alias("n"))
+    return n.agg(F.count("*").alias("source_rows"), F.count(F.when(F.col("n") == 0, 1)).alias("zero_match"), F.round(F.avg("n"), 6).alias("mean_matches"), F.max("n").alias("max_matches"))
+
+
+# Retrieval
+
+
+@query(_W + """, m AS (SELECT q.entity_id AS s, c.entity_id AS d, 1 AS n, 0 AS a FROM q JOIN c ON trim(q.name) = trim(c.name) AND trim(q.name) <> ''
+  UNION ALL SELECT q.entity_id, c.entity_id, 0, 1 FROM q JOIN c ON trim(q.address) = trim(c.address) AND trim(q.address) <> '')
+SELECT s AS source1_id, d AS candidate_id, max(n) AS exact_name, max(a) AS exact_address, 1.0::DOUBLE AS score, 1 AS rank FROM m GROUP BY s, d""")
+def exact_block(spark, sf):
+    return retrieve.exact(*sides(spark, sf), "entity_id", ["name", "address"])
+
+
+_MAX_DF = 0.2
+_TFIDF = """, n AS (SELECT count(*) AS n FROM c),
+tc AS (SELECT id, term, count(*) AS tf FROM (SELECT entity_id AS id, unnest(regexp_extract_all(lower({col}), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM c) GROUP BY ALL),
+tq AS (SELECT id, term, count(*) AS tf FROM (SELECT entity_id AS id, unnest(regexp_extract_all(lower({col}), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM q) GROUP BY ALL),
+v AS (SELECT term, ln((1 + n) / (1 + df)) + 1 AS idf FROM (SELECT term, count(*) AS df FROM tc GROUP BY 1), n WHERE df <= 0.2 * n),
+xc AS (SELECT id, term, (1 + ln(tf)) * idf AS x FROM tc JOIN v USING (term)), xq AS (SELECT id, term, (1 + ln(tf)) * idf AS x FROM tq JOIN v USING (term)),
+wc AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM xc), wq AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM xq),
+s AS (SELECT wq.id AS source1_id, wc.id AS candidate_id, least(1.0, round(sum(wq.w * wc.w), 6)) AS score FROM wq JOIN wc USING (term) {by} GROUP BY 1, 2),
+tfidf AS (SELECT *, CAST(row_number() OVER (PARTITION BY source1_id ORDER BY score DESC, candidate_id) AS INTEGER) AS rank FROM s WHERE score > 0 QUALIFY rank <= {k})
+"""
+_PICK = "SELECT source1_id, candidate_id, score, rank FROM "
+
+
+def _tfidf(spark, sf, k=5, by=None, column="clean_text"):
+    return retrieve.tfidf(*sides(spark, sf), "entity_id", retrieve.words(F.col(column)), k, max_df=_MAX_DF, by=by)
+
+
+@query(_W + _TFIDF.format(col="clean_text", by="", k=5) + _PICK + "tfidf")
+def tfidf_topk(spark, sf):
+    return _tfidf(spark, sf)
+
+
+@query(_W + _TFIDF.format(col="clean_text", by="JOIN q ON q.entity_id = wq.id JOIN c ON c.entity_id = wc.id AND c.country = q.country AND c.country <> ''", k=5) + _PICK + "tfidf")
+def tfidf_topk_by_country(spark, sf):
+    return _tfidf(spark, sf, by="country")
+
+
+@query(_W + _TFIDF.format(col="name", by="", k=10) + _PICK + "tfidf")
+def name_topk(spark, sf):
+    return _tfidf(spark, sf, 10, column="name")
+
+
+_BM25 = """, bn AS (SELECT count(*) AS n, avg(len) AS avg_len FROM (SELECT len(list_filter(string_split(clean_text, ' '), lambda x: x <> '')) AS len FROM c)),
+bc AS (SELECT id, term, count(*) AS tf FROM (SELECT entity_id AS id, unnest(string_split(clean_text, ' ')) AS term FROM c) WHERE term <> '' GROUP BY ALL),
+bq AS (SELECT id, term, count(*) AS tf FROM (SELECT entity_id AS id, unnest(string_split(clean_text, ' ')) AS term FROM q) WHERE term <> '' GROUP BY ALL),
+bl AS (SELECT id, sum(tf) AS len FROM bc GROUP BY 1),
+bd AS (SELECT term, count(*) AS df, n, avg_len FROM bc, bn GROUP BY term, n, avg_len),
+br AS (SELECT *, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM bd), bm AS (SELECT avg(raw) AS m FROM br),
+bi AS (SELECT term, avg_len, CASE WHEN raw < 0 THEN 0.25 * m ELSE raw END AS idf FROM br, bm WHERE df <= 0.2 * n),
+bp AS (SELECT bc.id, term, idf * tf * 2.5 / (tf + 1.5 * (1 - 0.75 + 0.75 * len / avg_len)) AS w FROM bc JOIN bi USING (term) JOIN bl ON bl.id = bc.id),
+bs AS (SELECT bq.id AS source1_id, bp.id AS candidate_id, round(sum(bq.tf * bp.w), 6) AS score FROM bq JOIN bp USING (term) GROUP BY 1, 2),
+bm25 AS (SELECT *, CAST(row_number() OVER (PARTITION BY source1_id ORDER BY score DESC, candidate_id) AS INTEGER) AS rank FROM bs WHERE score > 0 QUALIFY rank <= 5)
+"""
+
+
+def _bm25(spark, sf, k=5):
+    return retrieve.bm25(*sides(spark, sf), "entity_id", "clean_text", k, max_df=_MAX_DF)
+
+
+@query(_W + _BM25 + _PICK + "bm25")
+def bm25_topk(spark, sf):
+    return _bm25(spark, sf)
+
+
+@query(_W + """, ct AS (SELECT DISTINCT entity_id AS id, unnest(string_split(clean_text, ' ')) AS token FROM c), qt AS (SELECT DISTINCT entity_id AS id, unnest(string_split(clean_text, ' ')) AS token FROM q),
+r AS (SELECT token FROM ct WHERE token <> '' GROUP BY 1 HAVING count(*) <= 5),
+s AS (SELECT qt.id AS source1_id, ct.id AS candidate_id, count(*) AS score FROM qt JOIN r USING (token) JOIN ct USING (token) GROUP BY 1, 2)
+SELECT *, CAST(row_number() OVER (PARTITION BY source1_id ORDER BY score DESC, candidate_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 200""")
+def rare_token_block(spark, sf):
+    return retrieve.rare_tokens(*sides(spark, sf), "entity_id", "clean_text")
+
+
+@query("""WITH r AS (SELECT c_custkey AS id, c_name AS n, 0 AS side FROM customer UNION ALL SELECT s_suppkey, s_name, 1 FROM supplier),
+k AS (SELECT id, side, rpad(substr(regexp_replace(lower(n), '[^a-z0-9]', '', 'g'), 1, 6), 6, '0') AS key FROM r),
+p AS (SELECT *, row_number() OVER (ORDER BY key, side, id) AS pos FROM k),
+j AS (SELECT a.id AS source1_id, b.id AS candidate_id, round(list_sum(list_transform(range(1, 7), lambda i: CAST(a.key[i] = b.key[i] AS INTEGER))) / 6, 6) AS score, abs(a.pos - b.pos) AS gap
+  FROM p a JOIN p b ON a.side = 0 AND b.side = 1 AND b.pos BETWEEN a.pos - 10 AND a.pos + 10)
+SELECT source1_id, candidate_id, score, CAST(row_number() OVER (PARTITION BY source1_id ORDER BY score DESC, gap, candidate_id) AS INTEGER) AS rank FROM j""")
+def snm_block(spark, sf):
+    q = t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("n"))
+    c = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("n"))
+    return retrieve.sorted_neighbourhood(q, c, "id", "n")
+
+
+@query("""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), u AS (SELECT vec_id, list_transform(x, lambda a: a / sqrt(list_sum(list_transform(x, lambda b: b * b)))) AS x FROM v),
+s AS (SELECT a.vec_id AS source1_id, b.vec_id AS candidate_id, round(list_inner_product(a.x, b.x), 6) AS score FROM u a JOIN u b ON a.vec_id <> b.vec_id)
+SELECT *, CAST(row_number() OVER (PARTITION BY source1_id ORDER BY score DESC, candidate_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 5""")
+def vector_topk(spark, sf):
+    v = t(spark, sf, "embeddings")
+    return retrieve.vector_topk(v, v, "vec_id", "embedding", 5)
+
+
+@query()
+def ivf_topk(spark, sf):
+    v = t(spark, sf, "embeddings")
+    return retrieve.ivf_topk(v, v, "vec_id", "embedding", 5)
+
+
+@query()
+def multiview_topk(spark, sf):
+    """Character views over short names; the whole text by words."""
+    views = {
+        "name": ("name", lambda c: retrieve.char_ngrams_in_words(c, 3, 4), 150_000),
+        "address": ("address", retrieve.words, 100_000),
+        "pairs": ("name", lambda c: retrieve.word_ngrams(c, 1, 2), 100_000),
+    }
+    return retrieve.multiview(*sides(spark, sf), "entity_id", 5, views, _MAX_DF)
+
+
+@query()
+def countsketch_topk(spark, sf):
+    p = t(spark, sf, "part").select(F.concat(F.lit("P"), "p_partkey").alias("entity_id"), F.col("p_name").alias("name"), F.concat_ws(" ", "p_brand", "p_type").alias("address"))
+    names = p.groupBy("name", "address").agg(F.min("entity_id").alias("entity_id"))
+    return retrieve.countsketch_topk(names, names, "entity_id", "name", "address", dim=256)
+
+
+# Fusion
+
+_UNION = _W + _TFIDF.format(col="clean_text", by="", k=5) + _BM25
+_FUSED = """, u AS (SELECT source1_id, candidate_id, coalesce(tfidf.score, 0.0) AS cosine_similarity, tfidf.rank AS rank, coalesce(bm25.score, 0.0) AS bm25_score, bm25.rank AS bm25_rank,
+  CAST(tfidf.rank IS NOT NULL AS INTEGER) AS retrieved_by_tfidf, CAST(bm25.rank IS NOT NULL AS INTEGER) AS retrieved_by_bm25,
+  CAST(tfidf.rank IS NOT NULL AS INTEGER) + CAST(bm25.rank IS NOT NULL AS INTEGER) AS agreement FROM tfidf FULL JOIN bm25 USING (source1_id, candidate_id))
+"""
+
+
+def _union(spark, sf):
+    return fuse.union_two(_tfidf(spark, sf), _bm25(spark, sf))
+
+
+@query(_UNION + _FUSED + "SELECT * FROM u")
+def fuse_channels(spark, sf):
+    return fuse.ordered(_union(spark, sf))
+
+
+@query(_UNION + _FUSED + """SELECT agreement, count(*) AS pairs, round(avg(cosine_similarity), 6) AS mean_cosine FROM u GROUP BY 1""")
+def channel_agreement(spark, sf):
+    return _union(spark, sf).groupBy("agreement").agg(F.count("*").alias("pairs"), F.round(F.avg("cosine_similarity"), 6).alias("mean_cosine"))
+
+
+@query(_UNION + _FUSED + """SELECT source1_id, candidate_id, coalesce(1.0 / rank, 0.0)::DOUBLE AS rank_norm, coalesce(1.0 / bm25_rank, 0.0)::DOUBLE AS bm25_rank_norm,
+  round((coalesce(1.0 / (60 + rank), 0) + coalesce(1.0 / (60 + bm25_rank), 0)) / (2.0 / 61), 9)::DOUBLE AS rrf_score, (retrieved_by_tfidf + retrieved_by_bm25) / 2 AS rrf_channels FROM u""")
+def rrf(spark, sf):
+    return fuse.rrf(_union(spark, sf), ["rank", "bm25_rank"]).select("source1_id", "candidate_id", "rank_norm", "bm25_rank_norm", F.round("rrf_score", 9).alias("rrf_score"), "rrf_channels")
+
+
+@query(_UNION + _FUSED + """, g AS (SELECT source1_id, max(cosine_similarity) AS top_score, avg(agreement) / 2 AS agreement, NULL::DOUBLE AS rarity FROM u GROUP BY 1),
+k AS (SELECT source1_id, greatest(10, least(50, CAST(round_even(20 * CASE WHEN top_score >= 0.85 THEN 0.75 WHEN top_score <= 0.40 THEN 1.5 ELSE 1.0 END
+  * CASE WHEN agreement >= 0.67 THEN 0.85 WHEN agreement <= 0.17 THEN 1.25 ELSE 1.0 END, 0) AS INTEGER))) AS k FROM g)
+SELECT source1_id, k, count(*) AS kept FROM u JOIN k USING (source1_id) WHERE rank <= k GROUP BY ALL""")
+def adaptive_k(spark, sf):
+    u = _union(spark, sf)
+    g = u.groupBy("source1_id").agg(F.max("cosine_similarity").alias("top_score"), (F.avg("agreement") / 2).alias("agreement"), F.lit(None).cast("double").alias("rarity"))
+    ks = fuse.adaptive_k(g)
+    return fuse.apply_k(u, ks).groupBy("source1_id").agg(F.count("*").alias("kept")).join(ks.select("source1_id", "k"), "source1_id").select("source1_id", "k", "kept")
+
+
+@query(_W + _TFIDF.format(col="clean_text", by="", k=50) + """, nt AS (SELECT count(*) AS n FROM truth), ns AS (SELECT count(DISTINCT source1_id) AS n FROM tfidf),
+m AS (SELECT tfidf.*, t.matched_id IS NOT NULL AS hit FROM tfidf LEFT JOIN truth t ON t.source1_id = tfidf.source1_id AND t.matched_id = tfidf.candidate_id)
+SELECT CAST(k AS INTEGER) AS k, count(*) FILTER (WHERE rank <= k) AS candidates, round(count(*) FILTER (WHERE rank <= k) / (SELECT n FROM ns), 6) AS mean_candidates,
+  round(count(*) FILTER (WHERE rank <= k AND hit) / (SELECT n FROM nt), 6) AS recall FROM m, (VALUES (10), (20), (30), (50)) g(k) GROUP BY k""")
+def k_settings(spark, sf):
+    return fuse.k_settings(_tfidf(spark, sf, 50), truth_pairs(spark, sf))
+
+
+# Pairs and features
+
+
+def _pairs(spark, sf, k=5):
+    q, c = sides(spark, sf)
+    return pairs.pair_table(_tfidf(spark, sf, k), q, c)
+
+
+_PT = _W + _TFIDF.format(col="clean_text", by="", k=5) + """, pt AS (SELECT tfidf.*, q.name AS s1_name, q.address AS s1_address, q.country AS s1_country, c.name AS candidate_name, c.address AS candidate_address, c.country AS candidate_country
+  FROM tfidf LEFT JOIN q ON q.entity_id = source1_id LEFT JOIN c ON c.entity_id = candidate_id)
+"""
+
+
+@query(_PT + "SELECT * FROM pt")
+def pair_table(spark, sf):
+    return _pairs(spark, sf)
+
+
+_SET = "list_filter(string_split({}, ' '), lambda x: x <> '')"
+
+
+def _jac(a, b, none):
+    a, b = _SET.format(a), _SET.format(b)
+    return f"CASE WHEN len({a}) + len({b}) = 0 THEN {none} ELSE len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))) END"
+
+
+@query(_PT + """SELECT source1_id, candidate_id, CASE WHEN g = 0 THEN 0.0::DOUBLE ELSE abs(a - b) / g END AS name_length_diff, CASE WHEN g = 0 THEN 1.0::DOUBLE ELSE least(a, b) / g END AS name_length_ratio
+FROM (SELECT source1_id, candidate_id, length(s1_name) AS a, length(candidate_name) AS b, greatest(length(s1_name), length(candidate_name)) AS g FROM pt)""")
+def length_feats(spark, sf):
+    return pairs.lengths(_pairs(spark, sf)).select("source1_id", "candidate_id", "name_length_diff", "name_length_ratio")
+
+
+@query("""WITH j AS (SELECT c_custkey, s_suppkey, lower(c_name) AS a, lower(s_name) AS b FROM customer JOIN supplier ON c_nationkey = s_nationkey)
+SELECT c_custkey, s_suppkey, 1 - levenshtein(a, b) / greatest(length(a), length(b)) AS similarity FROM j""")
+def lev_similarity(spark, sf):
+    j = t(spark, sf, "customer").join(t(spark, sf, "supplier"), F.col("c_nationkey") == F.col("s_nationkey"))
+    return j.select("c_custkey", "s_suppkey", fuzzy.levenshtein_similarity(F.lower("c_name"), F.lower("s_name")).alias("similarity"))
+
+
+@query(_PT + f"SELECT source1_id, candidate_id, round({_jac('s1_address', 'candidate_address', '1.0')}, 9) AS address_token_jaccard, CAST(len(list_intersect(regexp_extract_all(s1_address, '[0-9]+'), regexp_extract_all(candidate_address, '[0-9]+'))) > 0 AS INTEGER) AS address_numeric_overlap FROM pt")
+def token_overlap(spark, sf):
+    f = pairs.address_overlap(_pairs(spark, sf))
+    return f.select("source1_id", "candidate_id", F.round("address_token_jaccard", 9).alias("address_token_jaccard"), "address_numeric_overlap")
+
+
+@query(_PT + """SELECT source1_id, candidate_id, CAST(lower(trim(coalesce(s1_country, ''))) = lower(trim(coalesce(candidate_country, ''))) AND coalesce(s1_country, '') <> '' AS INTEGER) AS country_match,
+  CAST(candidate_id LIKE 'S2-%' AS INTEGER) AS source_type FROM pt""")
+def metadata_feats(spark, sf):
+    return pairs.metadata(_pairs(spark, sf)).select("source1_id", "candidate_id", "country_match", "source_type")
+
+
+def _diff(label, a, b):
+    a, b = f"list_distinct({_SET.format(a)})", f"list_distinct({_SET.format(b)})"
+    inter, both = f"len(list_intersect({a}, {b}))", f"len(list_distinct(list_concat({a}, {b})))"
+    return (
+        f"CAST({inter} AS INTEGER) AS {label}_common, CAST(len({a}) - {inter} AS INTEGER) AS {label}_s1_only, CAST(len({b}) - {inter} AS INTEGER) AS {label}_candidate_only, "
+        f"round(CASE WHEN {both} = 0 THEN 0.0::DOUBLE ELSE ({both} - {inter}) / {both} END, 9) AS {label}_difference"
+    )
+
+
+_X, _Y = (f"list_distinct(regexp_extract_all({s}_name || ' ' || {s}_address, '[0-9]+'))" for s in ("s1", "candidate"))
+
+
+@query(_PT + f"""SELECT source1_id, candidate_id, {_diff('name', 's1_name', 'candidate_name')}, {_diff('address', 's1_address', 'candidate_address')},
+  CAST(len(list_intersect({_X}, {_Y})) AS INTEGER) AS number_common,
+  round(CASE WHEN greatest(len({_X}), len({_Y})) = 0 THEN 0.0::DOUBLE ELSE len(list_intersect({_X}, {_Y})) / greatest(len({_X}), len({_Y})) END, 9) AS number_overlap,
+  CAST(len({_X}) > 0 AND len({_Y}) > 0 AND len(list_intersect({_X}, {_Y})) = 0 AS INTEGER) AS number_conflict,
+  CAST(len({_X}) > 0 AND len(list_intersect({_X}, {_Y})) = len({_X}) AND len({_X}) = len({_Y}) AS INTEGER) AS number_equal FROM pt""")
+def diff_counts(spark, sf):
+    f = pairs.differences(_pairs(spark, sf))
+    rounded = [F.round(c, 9).alias(c) if c in ("name_difference", "address_difference", "number_overlap") else F.col(c) for c in f.columns if c.startswith(("name_", "address_", "number_")) and c != "number_gap"]
+    return f.select("source1_id", "candidate_id", *rounded)
+
+
+@query(_W + _TFIDF.format(col="clean_text", by="", k=5) + """, m AS (SELECT source1_id, candidate_id, score, rank AS margin_rank, max(score) OVER w AS top1_score, max(CASE WHEN rank = 2 THEN score END) OVER w AS top2_score,
+  count(*) OVER w AS n_candidates, score - coalesce(lead(score) OVER (PARTITION BY source1_id ORDER BY score DESC, candidate_id), 0) AS gap_to_next FROM tfidf WINDOW w AS (PARTITION BY source1_id)),
+x AS (SELECT *, top1_score - coalesce(top2_score, 0) AS margin, CAST(sum(CAST(score >= 0.95 * top1_score AS INTEGER)) OVER w AS BIGINT) AS near_ties,
+  CAST(sum(CAST(score >= 0.70 * top1_score AND score >= 0.5 AS INTEGER)) OVER w AS BIGINT) AS strong_candidates FROM m WINDOW w AS (PARTITION BY source1_id))
+SELECT source1_id, candidate_id, margin_rank, top1_score, top2_score, n_candidates, round(gap_to_next, 9) AS gap_to_next, round(margin, 9) AS margin, near_ties, strong_candidates,
+  CAST(near_ties >= 2 AND margin < 0.05 AS INTEGER) AS ambiguous FROM x""")
+def margin_feats(spark, sf):
+    f = pairs.margins(_tfidf(spark, sf))
+    r = lambda c: F.round(c, 9).alias(c)
+    return f.select("source1_id", "candidate_id", "margin_rank", "top1_score", "top2_score", "n_candidates", r("gap_to_next"), r("margin"), "near_ties", "strong_candidates", "ambiguous")
+
+
+@query(_PT + """, nm AS (SELECT name, count(*) AS df FROM c GROUP BY 1), nn AS (SELECT count(*) AS n FROM c)
+SELECT source1_id, candidate_id, round(1 - coalesce(a.df, 0) / n, 9) AS s1_name_rarity, round(1 - coalesce(b.df, 0) / n, 9) AS candidate_name_rarity
+FROM pt CROSS JOIN nn LEFT JOIN nm a ON a.name = s1_name LEFT JOIN nm b ON b.name = candidate_name""")
+def frequency_feats(spark, sf):
+    return pairs.frequency_features(_pairs(spark, sf), sides(spark, sf)[1]).select("source1_id", "candidate_id", "s1_name_rarity", "candidate_name_rarity")
+
+
+@query()
+def frequency_token_feats(spark, sf):
+    f = pairs.frequency_features(_pairs(spark, sf), sides(spark, sf)[1])
+    return f.select("source1_id", "candidate_id", *[c for c in f.columns if "shared" in c or "idf" in c])
+
+
+@query(_W + r""", a AS (SELECT entity_id, regexp_replace(address, '\s+', ' ', 'g') AS x FROM e)
+SELECT entity_id, coalesce(nullif(regexp_extract(x, '\b([1-9]\d{5})\b', 1), ''), nullif(regexp_extract(x, '\b(0[1-9]\d{3}|[1-9]\d{4})\b', 1), ''), nullif(regexp_extract(x, '\b(\d{5})(?:-\d{4})?\b', 1), ''), '') AS postal,
+  regexp_extract(x, '(?i)(?:^|,\s*|\bno\.?\s*|#\s*)(\d+[a-z]?(?:[/-]\d+[a-z]?)?)\b', 1) AS house,
+  regexp_extract(x, '(?i)(?:^|[^\p{L}\p{N}_])(?:apt\.?|apartment|unit|ste\.?|suite|flat|room|rm\.?)\s*#?\s*([0-9a-z]+)(?:[^\p{L}\p{N}_]|$)', 1) AS unit FROM a""")
+def address_components(spark, sf):
+    return pairs.parse_addresses(entities(spark, sf)).select("entity_id", F.col("address_postal").alias("postal"), F.col("address_house").alias("house"), F.col("address_unit").alias("unit"))
+
+
+@query()
+def address_component_feats(spark, sf):
+    q, c = sides(spark, sf)
+    parts = ["address_" + x for x in pairs.COMPONENTS]
+    p = pairs.pair_table(_tfidf(spark, sf), pairs.parse_addresses(q), pairs.parse_addresses(c), fields=("name", "address", "country", *parts))
+    f = pairs.component_features(p)
+    return f.select("source1_id", "candidate_id", *[x for x in f.columns if x.endswith(("_match", "_conflict"))], "component_agreement")
+
+
+@query(_PT + f"""SELECT source1_id, candidate_id, length(s1_name) AS rich_name_s1_length, length(candidate_name) AS rich_name_candidate_length,
+  round({_jac('s1_name', 'candidate_name', '0.0')}, 9) AS rich_name_jaccard, round({_jac('s1_address', 'candidate_address', '0.0')}, 9) AS rich_address_jaccard FROM pt""")
+def rich_feats(spark, sf):
+    f = pairs.rich(_pairs(spark, sf))
+    return f.select("source1_id", "candidate_id", F.col("rich_name_s1_length").cast("long").alias("rich_name_s1_length"), F.col("rich_name_candidate_length").cast("long").alias("rich_name_candidate_length"), F.round("rich_name_jaccard", 9).alias("rich_name_jaccard"), F.round("rich_address_jaccard", 9).alias("rich_address_jaccard"))
+
+
+@query("""SELECT c_custkey, s_suppkey, round(jaro_winkler_similarity(c_name, s_name), 9) AS jw FROM customer JOIN supplier ON c_nationkey = s_nationkey""")
+def jaro_winkler(spark, sf):
+    j = t(spark, sf, "customer").join(t(spark, sf, "supplier"), F.col("c_nationkey") == F.col("s_nationkey"))
+    return j.select("c_custkey", "s_suppkey", F.round(fuzzy.measures({"jw": ("jaro_winkler", F.col("c_name"), F.col("s_name"))})["jw"], 9).alias("jw"))
+
+
+def _names(spark, sf):
+    """Pairs of distinct part names that share a brand."""
+    n = t(spark, sf, "part").select("p_name", "p_brand").distinct()
+    return n.alias("a").join(n.alias("b"), "p_brand").where("a.p_name < b.p_name").select(F.col("a.p_name").alias("s1_name"), F.col("b.p_name").alias("candidate_name")).distinct().withColumns({"s1_address": F.col("s1_name"), "candidate_address": F.col("candidate_name")})
+
+
+@query()
+def fuzzy_feats(spark, sf):
+    return pairs.fuzzy_features(_names(spark, sf))
+
+
+@query()
+def name_feats(spark, sf):
+    return pairs.name_similarity(_names(spark, sf))
+
+
+@query()
+def lcs_ratio(spark, sf):
+    return pairs.address_similarity(_names(spark, sf)).select("s1_name", "candidate_name", "address_lcs", "address_token_jaccard")
+
+
+@query()
+def translit_feats(spark, sf):
+    return pairs.translit_features(_names(spark, sf), {"steel": "iron"})
+
+
+@query("""WITH n AS (SELECT DISTINCT p_name, p_type FROM part), p AS (SELECT lower(a.p_name) AS x, lower(b.p_name) AS y FROM n a JOIN n b USING (p_type)),
+k AS (SELECT unnest(string_split(x, ' ')) AS src, unnest(string_split(y, ' ')) AS tgt FROM p WHERE len(string_split(x, ' ')) = len(string_split(y, ' '))),
+c AS (SELECT src, tgt, count(*) AS n FROM k WHERE src <> '' AND tgt <> '' GROUP BY ALL),
+r AS (SELECT *, n / sum(n) OVER (PARTITION BY src) AS share, row_number() OVER (PARTITION BY src ORDER BY n DESC, tgt) AS r FROM c)
+SELECT src, tgt, n, round(share, 9) AS share FROM r WHERE r = 1 AND src <> tgt AND n >= 3 AND share >= 0.1""")
+def learned_corrections(spark, sf):
+    n = t(spark, sf, "part").select("p_name", "p_type").distinct()
+    p = n.select(F.col("p_name").alias("x"), "p_type").join(n.select(F.col("p_name").alias("y"), "p_type"), "p_type")
+    return translit.learn_corrections(p, "x", "y", share=0.1).withColumn("share", F.round("share", 9))
+
+
+# Decisions and evaluation
+
+_SC = _W + _TFIDF.format(col="clean_text", by="", k=5) + """, sc AS (SELECT source1_id, candidate_id, score AS prob_match FROM tfidf), ids AS (SELECT entity_id AS source1_id FROM q),
+rk AS (SELECT *, row_number() OVER (PARTITION BY source1_id ORDER BY prob_match DESC, candidate_id) AS r FROM sc),
+mg AS (SELECT *, max(CASE WHEN r = 1 THEN prob_match END) OVER w - coalesce(max(CASE WHEN r = 2 THEN prob_match END) OVER w, 0) AS margin FROM rk WINDOW w AS (PARTITION BY source1_id))
+"""
+_AT = ", pred AS (SELECT source1_id, candidate_id FROM mg WHERE prob_match >= 0.5 OR (r = 1 AND margin >= 0.2 AND prob_match >= 0.35))"
+_OUT = """, oc AS (SELECT source1_id, (SELECT count(*) FROM truth t WHERE t.source1_id = ids.source1_id) AS n_true, (SELECT count(*) FROM pred p WHERE p.source1_id = ids.source1_id) AS n_pred,
+  (SELECT count(*) FROM pred p JOIN truth t ON p.source1_id = t.source1_id AND p.candidate_id = t.matched_id WHERE p.source1_id = ids.source1_id) AS n_hit FROM ids),
+ev AS (SELECT *, CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN n_true = 0 OR n_pred = 0 OR n_hit = 0 THEN 0.0 ELSE 1.25 * (n_hit / n_pred) * (n_hit / n_true) / (0.25 * (n_hit / n_pred) + n_hit / n_true) END AS f,
+  CASE WHEN n_pred = 0 THEN CASE WHEN n_true = 0 THEN 1.0 ELSE 0.0 END ELSE n_hit / n_pred END AS p, CASE WHEN n_true = 0 THEN 1.0 ELSE n_hit / n_true END AS rc FROM oc)
+"""
+_MACRO = "round(avg(f), 6) AS macro_f, round(avg(p), 6) AS macro_precision, round(avg(rc), 6) AS macro_recall"
+
+
+def _scored(spark, sf):
+    return _tfidf(spark, sf).select("source1_id", "candidate_id", F.col("score").alias("prob_match"))
+
+
+def _ids(spark, sf):
+    return sides(spark, sf)[0].select(F.col("entity_id").alias("source1_id"))
+
+
+@query(_SC + _AT + "SELECT * FROM pred")
+def apply_threshold(spark, sf):
+    return decide.apply_threshold(_scored(spark, sf), 0.5)
+
+
+@query(_SC + _AT + _OUT + f"SELECT {_MACRO}, count(*) AS entities FROM ev")
+def macro_f_beta(spark, sf):
+    return decide.macro(decide.outcomes(decide.apply_threshold(_scored(spark, sf), 0.5), truth_pairs(spark, sf), _ids(spark, sf)))
+
+
+@query(_SC + _AT + _OUT + f"""SELECT 'all' AS "group", count(*) AS entities, {_MACRO} FROM ev UNION ALL
+SELECT CASE WHEN n_true = 0 THEN 'zero_match' ELSE 'matched' END, count(*), {_MACRO} FROM ev GROUP BY 1""")
+def singleton_report(spark, sf):
+    return decide.singleton_report(decide.outcomes(decide.apply_threshold(_scored(spark, sf), 0.5), truth_pairs(spark, sf), _ids(spark, sf)))
+
+
+@query(_SC + f""", g AS (SELECT unnest(range(1, 100)) AS g),
+pr AS (SELECT g, source1_id, candidate_id FROM mg, g WHERE floor(prob_match * 100 + 1e-9) >= g OR (r = 1 AND margin >= 0.2 AND prob_match >= 0.35)),
+np AS (SELECT g, pr.source1_id, count(*) AS n_pred, count(t.matched_id) AS n_hit FROM pr LEFT JOIN truth t ON t.source1_id = pr.source1_id AND t.matched_id = pr.candidate_id GROUP BY g, pr.source1_id),
+nt AS (SELECT source1_id, count(DISTINCT matched_id) AS n_true FROM truth GROUP BY 1),
+al AS (SELECT g, ids.source1_id, coalesce(n_true, 0) AS n_true, coalesce(n_pred, 0) AS n_pred, coalesce(n_hit, 0) AS n_hit FROM ids CROSS JOIN g LEFT JOIN nt ON nt.source1_id = ids.source1_id LEFT JOIN np ON np.source1_id = ids.source1_id AND np.g = g.g),
+ev AS (SELECT *, CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN n_true = 0 OR n_pred = 0 OR n_hit = 0 THEN 0.0 ELSE 1.25 * (n_hit / n_pred) * (n_hit / n_true) / (0.25 * (n_hit / n_pred) + n_hit / n_true) END AS f,
+  CASE WHEN n_pred = 0 THEN CASE WHEN n_true = 0 THEN 1.0 ELSE 0.0 END ELSE n_hit / n_pred END AS p, CASE WHEN n_true = 0 THEN 1.0 ELSE n_hit / n_true END AS rc FROM al)
+SELECT g / 100 AS threshold, {_MACRO} FROM ev GROUP BY 1""")
+def threshold_sweep(spark, sf):
+    return decide.sweep(_scored(spark, sf), truth_pairs(spark, sf), _ids(spark, sf))
+
+
+@query(_SC + """, kept AS (SELECT source1_id, candidate_id, row_number() OVER (PARTITION BY source1_id ORDER BY prob_match DESC, candidate_id) AS r FROM sc WHERE prob_match >= 0.4 QUALIFY r <= 3)
+SELECT ids.source1_id, coalesce(string_agg(candidate_id, ',' ORDER BY r), '') AS matched FROM ids LEFT JOIN kept ON kept.source1_id = ids.source1_id GROUP BY 1""")
+def entity_decisions(spark, sf):
+    return decide.entity_decisions(_scored(spark, sf), _ids(spark, sf), 0.4, cap=3).withColumn("matched", F.array_join("matched", ","))
+
+
+@query(_SC + "SELECT source1_id, candidate_id FROM sc WHERE candidate_id LIKE 'S2-%' AND candidate_id IN (SELECT entity_id FROM c WHERE country = 'en')")
+def valid_ids(spark, sf):
+    return decide.valid_ids(_scored(spark, sf), sides(spark, sf)[1].where("country = 'en'"), prefixes=("S2-",))
+
+
+@query(_SC + """SELECT ids.source1_id, coalesce(string_agg(candidate_id, ',' ORDER BY candidate_id) FILTER (WHERE prob_match >= 0.9), '') AS matched FROM ids LEFT JOIN sc ON sc.source1_id = ids.source1_id GROUP BY 1""")
+def coverage(spark, sf):
+    lists = _scored(spark, sf).where("prob_match >= 0.9").groupBy("source1_id").agg(reshape.deduped_list(F.collect_list("candidate_id")).alias("matched"))
+    return decide.covered(lists, _ids(spark, sf)).withColumn("matched", F.array_join("matched", ","))
+
+
+@query(_SC + "SELECT source1_id, matched_id AS candidate_id FROM truth EXCEPT SELECT source1_id, candidate_id FROM sc")
+def consistency(spark, sf):
+    return decide.inconsistent(truth_pairs(spark, sf).withColumnRenamed("matched_id", "candidate_id"), _scored(spark, sf))
+
+
+@query(_SC + """SELECT count(*) AS n_true, count(sc.candidate_id) AS n_found, round(count(sc.candidate_id) / count(*), 6) AS recall FROM truth t LEFT JOIN sc ON sc.source1_id = t.source1_id AND sc.candidate_id = t.matched_id""")
+def candidate_recall(spark, sf):
+    return decide.candidate_recall(_scored(spark, sf), truth_pairs(spark, sf))
+
+
+@query(_SC + """SELECT t.source1_id, round(count(sc.candidate_id) / count(*), 4) AS recall, count(*) - count(sc.candidate_id) AS missing FROM truth t LEFT JOIN sc ON sc.source1_id = t.source1_id AND sc.candidate_id = t.matched_id GROUP BY 1""")
+def entity_recall(spark, sf):
+    return decide.entity_recall(_scored(spark, sf), truth_pairs(spark, sf))
+
+
+@query(_UNION + """, nw AS (SELECT source1_id, candidate_id FROM bm25 EXCEPT SELECT source1_id, candidate_id FROM tfidf),
+x AS (SELECT count(*) AS new_candidates, count(t.matched_id) AS new_true, (SELECT count(*) FROM truth) AS nt, (SELECT count(*) FROM tfidf) AS no FROM nw LEFT JOIN truth t ON t.source1_id = nw.source1_id AND t.matched_id = nw.candidate_id)
+SELECT new_candidates, new_true, round(new_true / nt, 6) AS lift, round(new_candidates / no, 6) AS overhead, coalesce((new_true / nt) / nullif(new_candidates / no, 0) >= 0.01, false) AS keep FROM x""")
+def unique_recall(spark, sf):
+    return decide.unique_recall(_tfidf(spark, sf), _bm25(spark, sf), truth_pairs(spark, sf))
+
+
+@query(_SC + """, cs AS (SELECT ids.source1_id, count(sc.candidate_id) AS n FROM ids LEFT JOIN sc ON sc.source1_id = ids.source1_id GROUP BY 1)
+SELECT count(*) AS entities, min(n) FILTER (WHERE n > 0) AS least, round(avg(n), 6) AS mean, quantile_cont(n, 0.5) AS median, quantile_cont(n, 0.95) AS p95, max(n) AS most, round(avg(CAST(n = 0 AS INTEGER)), 6) AS zero_share FROM cs""")
+def candidate_statistics(spark, sf):
+    return decide.candidate_statistics(_scored(spark, sf), _ids(spark, sf))
+
+
+@query()
+def miss_categories(spark, sf):
+    q, c = sides(spark, sf)
+    tp = pairs.pair_table(truth_pairs(spark, sf).withColumnRenamed("matched_id", "candidate_id"), q, c)
+    scored = _scored(spark, sf)
+    common = c.groupBy("name").agg(F.count("*").alias("n")).where("n > 5").select("name")
+    return decide.classify_misses(tp, scored, decide.apply_threshold(scored, 0.5), common, list(fixed.LEGAL_FORMS))
+
+
+@query(_SC + """, sub AS (SELECT source1_id, string_agg(candidate_id, ',') AS m FROM sc GROUP BY 1)
+SELECT 'missing_source' AS issue, (SELECT count(*) FROM ids WHERE source1_id NOT IN (SELECT source1_id FROM sub)) AS n UNION ALL SELECT 'extra_source', 0 UNION ALL SELECT 'repeated_source', 0
+UNION ALL SELECT 'repeated_in_list', 0 UNION ALL SELECT 'bad_prefix', 0 UNION ALL SELECT 'unknown_id', 0 UNION ALL SELECT 'not_a_candidate', 0""")
+def submission_issues(spark, sf):
+    scored = _scored(spark, sf)
+    return decide.submission_issues(reshape.implode_ids(scored, "source1_id", "candidate_id"), _ids(spark, sf), sides(spark, sf)[1], scored)
+
+
+# Learning
+
+
+@query(_W + """SELECT entity_id AS source1_id, CASE WHEN CAST('0x' || substr(md5(entity_id || ':42'), 1, 8) AS BIGINT) / 4294967296.0 < 0.15 THEN 'validation' ELSE 'train' END AS fold FROM q""")
+def hash_split(spark, sf):
+    return learn.split_entities(_ids(spark, sf))
+
+
+def _labeled(spark, sf):
+    return pairs.label(_tfidf(spark, sf), truth_pairs(spark, sf))
+
+
+@query(_W + _TFIDF.format(col="clean_text", by="", k=5) + """, l AS (SELECT tfidf.*, CAST(t.matched_id IS NOT NULL AS INTEGER) AS label FROM tfidf LEFT JOIN truth t ON t.source1_id = tfidf.source1_id AND t.matched_id = tfidf.candidate_id),
+ng AS (SELECT *, row_number() OVER (ORDER BY md5(source1_id || ':' || candidate_id || ':42'), source1_id, candidate_id) AS o FROM l WHERE label = 0)
+SELECT source1_id, candidate_id, label FROM l WHERE label = 1 UNION ALL SELECT source1_id, candidate_id, label FROM ng WHERE o <= 2 * (SELECT count(*) FROM l WHERE label = 1)""")
+def neg_sample(spark, sf):
+    return learn.sample_negatives(_labeled(spark, sf), 2).select("source1_id", "candidate_id", "label")
+
+
+@query()
+def bucket_sample(spark, sf):
+    q, c = sides(spark, sf)
+    f = pairs.features(pairs.label(pairs.pair_table(_tfidf(spark, sf), q.withColumn("address", F.col("name")), c.withColumn("address", F.col("name"))), truth_pairs(spark, sf)), ("name", "address", "rich"))
+    return learn.sample_by_bucket(cut(f, "features"), 2).select("source1_id", "candidate_id", "label", "bucket")
+
+
+@query()
+def gbt_scores(spark, sf):
+    """Train on one fold, score the other."""
+    q, c = sides(spark, sf)
+    f = pairs.features(pairs.label(pairs.pair_table(_tfidf(spark, sf), q, c), truth_pairs(spark, sf)), ("metadata", "length", "difference", "rich"))
+    f = cut(f, "features")
+    columns = pairs.feature_columns(f, ["source1_id", "candidate_id"])
+    train, held = learn.split_pairs(f, learn.split_entities(_ids(spark, sf)))
+    model = learn.train_with_hard_negatives(train, columns, trees=5, depth=3)
+    return learn.score(model, held).select("source1_id", "candidate_id", "label", F.round("prob_match", 6).alias("prob_match"))
