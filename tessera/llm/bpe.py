@@ -143,18 +143,19 @@ def decode(encoded: DataFrame, json_path: str, pattern: str, key: str = "doc_id"
     return plain.mapInArrow(run, schema).withColumnRenamed("k", key)
 
 
-def digests(docs: DataFrame, json_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Number and SHA-256 of each text's ids, and SHA-256 of the bytes decoded from them."""
-    schema = T.StructType(
-        [
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids_sha256", T.StringType()),
-            T.StructField("decoded_sha256", T.StringType()),
-        ]
-    )
+def digests(docs: DataFrame, json_path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Number and SHA-256 of each text's ids, and SHA-256 of the bytes decoded from them; the ids too if asked for."""
+    fields = [
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ]
+    ids_field = [T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []
 
     def row(bpe, _t, raw):
-        back = bpe.decode(np.frombuffer(raw, dtype="<u4").tolist())
-        return len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(back).hexdigest()
+        ids = np.frombuffer(raw, dtype="<i4")
+        back = bpe.decode(ids.tolist())
+        found = len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(back).hexdigest()
+        return (*found, ids) if with_ids else found
 
-    return _run(docs, json_path, pattern, key, text, schema, row)
+    return _run(docs, json_path, pattern, key, text, T.StructType(fields + ids_field), row)

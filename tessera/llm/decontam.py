@@ -18,15 +18,15 @@ id or no words take no part. Repeated items count once by id. An empty
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.rows import alnum_words, map_texts
+from tessera.llm.rows import alnum_words, map_texts, utf8
 
 WINDOW = 13
 #: Words of items in one automaton: about 100 MB in a task.
@@ -229,9 +229,6 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     return key.join(merged, "h", "left").drop("h")
 
 
-_HEX = "array_join(items, ',')"
-
-
 def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Counts, digest of the items, and whether a twentieth or more of the words are hit."""
     hit = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda x: F.sequence(x["s"], x["e"] - 1))))).cast("long")
@@ -240,6 +237,47 @@ def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
         "n_words",
         hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.expr(_HEX), 256).alias("items_sha256"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def cleaned(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents that are not contaminated; the same columns.
+
+    With one block of items the decision is made row by row, without a join;
+    with more, rows find it through their text's hash.
+    """
+    blocks = _blocks(items)
+    if len(blocks) == 1:
+        held = docs.sparkSession.sparkContext.broadcast(blocks[0])
+
+        @F.arrow_udf("boolean")
+        def contaminated(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            automaton = ItemAutomaton([(i, alnum_words(t)) for i, t in held.value], window)
+            for texts in batches:
+                out = []
+                for t in utf8(texts):
+                    words = alnum_words(t)
+                    hit = sum(b - a for a, b in automaton.scan(words)[0])
+                    out.append(hit > 0 and 20 * hit >= len(words))
+                yield pa.array(out, type=pa.bool_())
+
+        return docs.withColumn("_contaminated", contaminated("text")).where(~F.col("_contaminated")).drop("_contaminated")
+    h = F.sha2(F.coalesce("text", F.lit("")), 256)
+    texts = docs.select(h.alias("doc_id"), "text").groupBy("doc_id").agg(F.first("text").alias("text"))
+    bad = judged(texts, items, window).where("contaminated").select(F.col("doc_id").alias("_h"))
+    return docs.withColumn("_h", h).join(bad, "_h", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def without_spans(text: str, spans: list[tuple[int, int]], most: int = 0) -> str:
+    """The text without the word spans of more than ``most`` words; what lies between words stays on its left."""
+    import re
+
+    at = [m.span() for m in re.finditer("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", text)]
+    out, done = [], 0
+    for a, b in spans:
+        if b - a > most:
+            out.append(text[done : at[a][0]])
+            done = at[b - 1][1]
+    return "".join(out) + text[done:]
