@@ -169,7 +169,6 @@ def train(docs: DataFrame) -> Hierarchy:
 
 def predicted(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(train(docs))  # a few machines of WIDTH weights
-    out = map_texts(docs, lambda: model.value.predict, [("lang_pred", T.StringType()), ("score", T.DoubleType())])
+    model = train(docs)  # a few machines of WIDTH weights travel with the function
+    out = map_texts(docs, lambda: model.predict, [("lang_pred", T.StringType()), ("score", T.DoubleType())])
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

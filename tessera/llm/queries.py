@@ -128,8 +128,8 @@ FROM s QUALIFY rank <= {topk.K}
 _OP10 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS.format("text")} AS w FROM documents),
 p AS (SELECT string_split(phrase, ' ') AS pw, label FROM (VALUES {_values(licenses.PHRASES)}) t(phrase, label)),
-b AS (SELECT rid, at - 1 AS at, label FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS at FROM d), p WHERE w[at:at + len(pw) - 1] = pw),
-base AS (SELECT rid, count(*) AS n, min(at) AS lo, max(at) AS hi FROM b GROUP BY rid),
+b AS (SELECT rid, pos - 1 AS pos, label FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS pos FROM d), p WHERE w[pos:pos + len(pw) - 1] = pw),
+base AS (SELECT rid, count(*) AS n, min(pos) AS lo, max(pos) AS hi FROM b GROUP BY rid),
 t AS (SELECT label, list_distinct({_WORDS.format("body")}) AS tw FROM (VALUES {_values(licenses.TEMPLATES)}) t(label, body)),
 lines AS (SELECT rid, list_distinct({_WORDS.format("line")}) AS lw FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d)),
 m AS (SELECT rid, label, len(list_intersect(tw, lw)) / len(tw) AS part FROM lines, t WHERE len(list_intersect(tw, lw)) >= ceil(round({licenses.THRESHOLD} * len(tw), 9))),
