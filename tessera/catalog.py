@@ -620,7 +620,7 @@ def singleton_report(spark, sf):
 pr AS (SELECT g, source1_id, candidate_id FROM mg, g WHERE floor(prob_match * 100 + 1e-9) >= g OR (r = 1 AND margin >= 0.2 AND prob_match >= 0.35)),
 np AS (SELECT g, pr.source1_id, count(*) AS n_pred, count(t.matched_id) AS n_hit FROM pr LEFT JOIN truth t ON t.source1_id = pr.source1_id AND t.matched_id = pr.candidate_id GROUP BY g, pr.source1_id),
 nt AS (SELECT source1_id, count(DISTINCT matched_id) AS n_true FROM truth GROUP BY 1),
-al AS (SELECT g, ids.source1_id, coalesce(n_true, 0) AS n_true, coalesce(n_pred, 0) AS n_pred, coalesce(n_hit, 0) AS n_hit FROM ids CROSS JOIN g LEFT JOIN nt ON nt.source1_id = ids.source1_id LEFT JOIN np ON np.source1_id = ids.source1_id AND np.g = g.g),
+al AS (SELECT g.g, ids.source1_id, coalesce(n_true, 0) AS n_true, coalesce(n_pred, 0) AS n_pred, coalesce(n_hit, 0) AS n_hit FROM ids CROSS JOIN g LEFT JOIN nt ON nt.source1_id = ids.source1_id LEFT JOIN np ON np.source1_id = ids.source1_id AND np.g = g.g),
 ev AS (SELECT *, CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN n_true = 0 OR n_pred = 0 OR n_hit = 0 THEN 0.0 ELSE 1.25 * (n_hit / n_pred) * (n_hit / n_true) / (0.25 * (n_hit / n_pred) + n_hit / n_true) END AS f,
   CASE WHEN n_pred = 0 THEN CASE WHEN n_true = 0 THEN 1.0 ELSE 0.0 END ELSE n_hit / n_pred END AS p, CASE WHEN n_true = 0 THEN 1.0 ELSE n_hit / n_true END AS rc FROM al)
 SELECT g / 100 AS threshold, {_MACRO} FROM ev GROUP BY 1""")
