@@ -101,7 +101,7 @@ class OneVersusOne:
         for a, b in self.pairs:
             own = (of == self.names[a]) | (of == self.names[b])
             rows.append(svm(x[own], np.where(of[own] == self.names[a], 1.0, -1.0).astype(np.float32)))
-        self.w = np.array(rows, dtype=np.float32).reshape(len(rows), -1)
+        self.w = np.array(rows, dtype=np.float32).reshape(len(rows), x.shape[1] + 1)
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         if len(self.names) == 1:

@@ -34,7 +34,7 @@ LABELLED, UNLABELLED = 8_000, 4_000
 ROUNDS = 4
 #: Share of the unlabelled rows that each view names for each class and round.
 SURE = 0.05
-#: A view names no row that it is less sure of.
+#: A view names no row of which its calibrated probability is less sure.
 SURE_LEAST = 0.9
 THRESHOLD = 0.5
 
@@ -54,10 +54,10 @@ META_WIDTH = _SOURCES + _LANGS + 3
 
 
 def text_view(text: bytes | None) -> list[float]:
-    """Shape of the whole text; shares, so that length does not matter by itself."""
+    """Shape of the whole text; roots of shares, so that length does not matter by itself and small shares show."""
     text = text or b""
     n = max(1, len(text))
-    shares = [(len(text) - len(text.translate(None, k))) / n for k in _KINDS.values()]
+    shares = [((len(text) - len(text.translate(None, k))) / n) ** 0.5 for k in _KINDS.values()]
     words = text.split()
     w = max(1, len(words))
     lines = [x for x in text.split(b"\n") if x]
@@ -86,7 +86,7 @@ def meta_view(source: str | None, lang: str | None, n_chars: int | None) -> list
 class Logistic:
     """Ridge logistic regression on standardised columns, by Newton steps."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
+    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 0.1):
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
         z = self._z(x)
         self.w = np.zeros(z.shape[1])
@@ -127,16 +127,20 @@ class CoTrained:
         free = [more_text, more_meta]
         train = [(v[~held], y[~held]) for v in views]
         open_rows = np.arange(len(more_text))
+        check = held if held.any() else ~held
+        # A view must be surer than the share of the class by itself makes it.
+        good, bad = max(SURE_LEAST, (1 + self.share) / 2), max(SURE_LEAST, 1 - self.share / 2)
         for _ in range(rounds):
             models = [Logistic(*t) for t in train]
             if not len(open_rows):
                 break
             named: dict[int, float] = {}
             for i, model in enumerate(models):
-                p = _sigmoid(model.logit(free[i][open_rows]))
+                fit = Logistic(model.logit(views[i][check])[:, None], y[check])
+                p = _sigmoid(fit.logit(model.logit(free[i][open_rows])[:, None]))
                 order = np.argsort(p, kind="stable")
                 most = max(1, int(SURE * len(open_rows)))
-                pick = [(k, 0.0) for k in order[:most] if 1 - p[k] >= SURE_LEAST] + [(k, 1.0) for k in order[::-1][:most] if p[k] >= SURE_LEAST]
+                pick = [(k, 0.0) for k in order[:most] if 1 - p[k] >= bad] + [(k, 1.0) for k in order[::-1][:most] if p[k] >= good]
                 if pick:
                     at = open_rows[[k for k, _ in pick]]
                     x, t = train[1 - i]
@@ -144,7 +148,6 @@ class CoTrained:
                     named |= dict.fromkeys(at.tolist(), 1.0)
             open_rows = np.array([r for r in open_rows if r not in named], dtype=np.int64)
         self.models = [Logistic(*t) for t in train]
-        check = held if held.any() else ~held
         scores = [m.logit(v[check])[:, None] for m, v in zip(self.models, views)]
         self.calibrations = [Logistic(s, y[check]) for s in scores]
         both = np.hstack([c.logit(s)[:, None] for c, s in zip(self.calibrations, scores)])
