@@ -1,8 +1,8 @@
 """New source rows against a static corpus, as a stateless stream-static join.
 
 The corpus' postings are built once; each micro-batch only tokenizes its own
-rows and meets them on the term. The reference has no streaming: this is the
-batch retrieval, applied to rows as they arrive.
+rows and meets them on the term: the batch retrieval, applied to rows as they
+arrive.
 """
 
 from __future__ import annotations
