@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import fixed, fuzzy, text, translit
-from tessera.operators import constraints, decide, fuse, learn, pairs, profile, reshape, retrieve
+from tessera.operators import compare, constraints, decide, fuse, learn, pairs, profile, reshape, retrieve
 from tessera.session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -690,6 +690,50 @@ def submission_issues(spark, sf):
     return decide.submission_issues(reshape.implode_ids(scored, "source1_id", "candidate_id"), _ids(spark, sf), sides(spark, sf)[1], scored)
 
 
+# Comparison
+
+
+@query(_UNION + """, x AS (SELECT coalesce(a.source1_id, b.source1_id) AS source1_id, a.source1_id IS NOT NULL AS ia, b.source1_id IS NOT NULL AS ib
+  FROM tfidf a FULL JOIN bm25 b ON a.source1_id = b.source1_id AND a.candidate_id = b.candidate_id)
+SELECT source1_id, count(*) FILTER (WHERE ia) AS n_fresh, count(*) FILTER (WHERE ib) AS n_other, count(*) FILTER (WHERE ia AND ib) AS n_shared, round(count(*) FILTER (WHERE ia AND ib) / count(*), 6) AS jaccard FROM x GROUP BY 1""")
+def candidate_sets(spark, sf):
+    return compare.candidate_sets(_tfidf(spark, sf), _bm25(spark, sf))
+
+
+@query(_UNION + """, un AS (SELECT source1_id, candidate_id FROM tfidf UNION SELECT source1_id, candidate_id FROM bm25),
+m AS (SELECT a.candidate_id IS NOT NULL AS x, u.candidate_id IS NOT NULL AS y FROM truth t LEFT JOIN tfidf a ON a.source1_id = t.source1_id AND a.candidate_id = t.matched_id LEFT JOIN un u ON u.source1_id = t.source1_id AND u.candidate_id = t.matched_id)
+SELECT count(*) AS n_true, round(avg(CAST(x AS INTEGER)), 6) AS recall_before, round(avg(CAST(y AS INTEGER)), 6) AS recall_after, count(*) FILTER (WHERE x AND y) AS "both", count(*) FILTER (WHERE y AND NOT x) AS gained FROM m""")
+def recall_change(spark, sf):
+    return compare.recall_change(_tfidf(spark, sf), _union(spark, sf), truth_pairs(spark, sf))
+
+
+@query(_W + _TFIDF.format(col="clean_text", by="", k=5) + """, l AS (SELECT tfidf.source1_id, CAST(t.matched_id IS NOT NULL AS INTEGER) AS label FROM tfidf LEFT JOIN truth t ON t.source1_id = tfidf.source1_id AND t.matched_id = tfidf.candidate_id),
+f AS (SELECT *, CASE WHEN CAST('0x' || substr(md5(source1_id || ':42'), 1, 8) AS BIGINT) / 4294967296.0 < 0.15 THEN 'validation' ELSE 'train' END AS fold FROM l)
+SELECT fold, count(DISTINCT source1_id) AS entities, count(*) AS pairs, CAST(sum(label) AS BIGINT) AS positives, round(avg(label), 6) AS positive_rate FROM f GROUP BY 1""")
+def split_statistics(spark, sf):
+    return compare.split_statistics(_labeled(spark, sf), learn.split_entities(_ids(spark, sf)))
+
+
+@query()
+def leak_checks(spark, sf):
+    train, held = learn.split_pairs(cut(_labeled(spark, sf), "labeled"), learn.split_entities(_ids(spark, sf)))
+    return compare.leaks(train, held, ["score"], truth_pairs(spark, sf), _ids(spark, sf))
+
+
+@query()
+def feature_comparison(spark, sf):
+    f = pairs.lengths(_pairs(spark, sf))
+    return compare.feature_tables(f, f, ["name_length_diff", "name_length_ratio", "score"])
+
+
+@query()
+def no_match_topk(spark, sf):
+    """Suppliers against customers by name; suppliers without a match stand as NO_MATCH."""
+    q = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.concat_ws(" ", "s_name", F.col("s_nationkey").cast("string")).alias("x"))
+    c = t(spark, sf, "part").select("p_name").distinct().select(F.col("p_name").alias("id"), F.col("p_name").alias("x"))
+    return retrieve.saturated_tfidf(q.select(F.col("id").cast("string").alias("id"), "x"), c, "id", "x")
+
+
 # Learning
 
 

@@ -163,6 +163,28 @@ def bm25(queries: DataFrame, corpus: DataFrame, ident: str, text: str, k: int, k
     return top_k(scored.where("score > 0"), k)
 
 
+def saturated_tfidf(queries: DataFrame, corpus: DataFrame, ident: str, text: str, k: int = 10, least: float = 0.25, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+    """Top-k by TF-IDF weights of character runs, saturated as in BM25; source rows without a match get ``NO_MATCH``.
+
+    The corpus weight of a term takes the place of its count, and the sum of a
+    row's weights the place of its length.
+    """
+    terms = char_ngrams_in_words(F.col(text), 2, 4)
+    n = F.lit(corpus.count())
+    counts = term_counts(corpus, ident, terms)
+    vocab = vocabulary(counts, n)
+    wc, wq = weights(counts, vocab), weights(term_counts(queries, ident, terms), vocab)
+    size = wc.groupBy("id").agg(F.sum("w").alias("size"))
+    mean = size.agg(F.avg("size").alias("mean_size"))
+    full = wc.join(size, "id").join(F.broadcast(mean), how="cross")  # one row
+    saturated = full.select("id", "term", (F.col("w") * (k1 + 1) / (F.col("w") + k1 * (1 - b + b * F.col("size") / F.col("mean_size")))).alias("w"))
+    q = wq.select(F.col("id").alias("source1_id"), "term", F.col("w").alias("wq"))
+    scored = q.join(saturated.select(F.col("id").alias("candidate_id"), "term", F.col("w").alias("wc")), "term").groupBy("source1_id", "candidate_id").agg(F.round(F.sum(F.col("wq") * F.col("wc")), ROUND).alias("score"))
+    found = top_k(scored.where(F.col("score") >= least), k)
+    every = queries.select(F.col(ident).alias("source1_id"))
+    return every.join(found, "source1_id", "left").select("source1_id", F.coalesce("candidate_id", F.lit("NO_MATCH")).alias("candidate_id"), F.coalesce("score", F.lit(0.0)).alias("score"), "rank")
+
+
 # Keys
 
 
