@@ -91,8 +91,8 @@ def vocabulary(counts: DataFrame, n_docs: Column, max_features: int | None = Non
 def weights(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """(id, term, w): sublinear tf times idf, each document of length one."""
     raw = counts.join(vocab, "term").select("id", "term", ((1 + F.log("tf")) * F.col("idf")).alias("x"))
-    norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    return raw.join(norm, "id").select("id", "term", (F.col("x") / F.col("norm")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("id")))  # one shuffle, no second pass over the texts
+    return raw.select("id", "term", (F.col("x") / norm).alias("w"))
 
 
 def similarity_join(queries: DataFrame, corpus: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
