@@ -9,8 +9,10 @@ then the candidate's id.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -266,18 +268,47 @@ def unit(df: DataFrame, ident: str, vector: str) -> DataFrame:
     return df.select(F.col(ident).alias("id"), F.transform(v, lambda x: x / norm).alias("v"))
 
 
-def vector_topk(queries: DataFrame, corpus: DataFrame, ident: str, vector: str, k: int, block: int = 1024) -> DataFrame:
-    """Exact top-k by cosine; the query set goes out in blocks of ``block`` rows, each a broadcast of bounded size."""
+def vector_topk(queries: DataFrame, corpus: DataFrame, ident: str, vector: str, k: int, block: int = 2048) -> DataFrame:
+    """Exact top-k by cosine, a row's own id left out.
+
+    The query set goes out in blocks of about ``block`` rows, each a broadcast
+    of bounded size; a task multiplies its Arrow batches with the block and
+    keeps k rows for each query, which one window then merges.
+    """
     n = queries.count()
     blocks = max(1, -(-n // block))
-    c = unit(corpus, ident, vector).select(F.col("id").alias("candidate_id"), F.col("v").alias("vc"))
-    q = unit(queries, ident, vector).select(F.col("id").alias("source1_id"), F.col("v").alias("vq"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-    parts = [F.broadcast(q.where(F.col("block") == i)) for i in range(blocks)]
-    found = [c.join(p, F.col("source1_id") != F.col("candidate_id")).select("source1_id", "candidate_id", F.round(_dot("vq", "vc"), ROUND).alias("score")) for p in parts]
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    return top_k(every, k)
+    c, q = unit(corpus, ident, vector), unit(queries, ident, vector)
+    kind = c.schema["id"].dataType.simpleString()
+    schema = f"source1_id {q.schema['id'].dataType.simpleString()}, candidate_id {kind}, score double"
+    part = F.pmod(F.xxhash64("id"), F.lit(blocks))
+    found = []
+    for i in range(blocks):
+        rows = q.where(part == i).orderBy("id").collect()  # about ``block`` rows
+        held = corpus.sparkSession.sparkContext.broadcast(([r["id"] for r in rows], np.array([r["v"] for r in rows], dtype=float)))
+        found.append(c.mapInArrow(partial(_best_products, held, k), schema))
+    return top_k(reduce(DataFrame.unionByName, found), k)
+
+
+def _best_products(held, k: int, batches):
+    names, asked = held.value
+    best: list[list[tuple[float, object]]] = [[] for _ in names]
+    for batch in batches:
+        ids = batch.column("id").to_pylist()
+        if not ids or not names:
+            continue
+        v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        for at in range(0, len(ids), 4096):
+            scores = np.round(v[at : at + 4096] @ asked.T, ROUND)
+            for j, own in enumerate(names):
+                s = scores[:, j]
+                floor = best[j][-1][0] if len(best[j]) == k else -np.inf
+                if len(s) > k + 1:  # one more, as the row's own id may be among them
+                    floor = max(floor, -np.partition(-s, k)[k])
+                near = [(float(s[x]), ids[at + x]) for x in np.flatnonzero(s >= floor)]
+                best[j] = sorted(best[j] + [p for p in near if p[1] != own], key=lambda p: (-p[0], p[1]))[:k]
+    out = [{"source1_id": own, "candidate_id": c, "score": s} for own, mine in zip(names, best) for s, c in mine]
+    if out:
+        yield pa.RecordBatch.from_pylist(out)
 
 
 def ivf_topk(queries: DataFrame, corpus: DataFrame, ident: str, vector: str, k: int, cells: int = 16, probe: int = 4, seed: int = 42) -> DataFrame:
