@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera import logs
 from tessera.functions import text
 from tessera.functions.translit import transliterate
 from tessera.operators import constraints, decide, fuse, learn, pairs, retrieve
@@ -82,10 +83,9 @@ def run(spark: SparkSession, data: str, out: str, k: int = 20, with_transliterat
 
     def stage(name, make) -> None:
         if not done.is_done(name):
-            at = time.time()
-            make()
+            with logs.step(name, report["stages"]):
+                make()
             done.mark_done(name)
-            report["stages"][name] = round(time.time() - at, 1)
         else:
             report["stages"][name] = "kept"
 
@@ -174,7 +174,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--k", type=int, default=20)
     p.add_argument("--transliterate", action="store_true")
     p.add_argument("--resume", action="store_true")
+    p.add_argument("--logs", help="folder of log files")
     a = p.parse_args(argv)
+    logs.set_up(a.logs)
     run(SparkSession.builder.getOrCreate(), a.data, a.out, a.k, a.transliterate, a.resume)
     return 0
 

@@ -55,6 +55,21 @@ def test_whole_run_and_resume(spark, data, tmp_path):
     assert json.loads(open(f"{out}/report.json").read())["k"] == 5
 
 
+def test_tools(spark, data, tmp_path):
+    from tessera.plans import tools
+
+    out = str(tmp_path / "sample")
+    tools.sample(spark, data, out, 5)
+    truth = tables.read_truth(spark, f"{out}/ground_truth")
+    corpus = tables.read_tsv(spark, f"{out}/source2").unionByName(tables.read_tsv(spark, f"{out}/source3"))
+    assert tables.read_tsv(spark, f"{out}/source1").count() == 5
+    assert constraints.unknown_references(truth, "matched_id", corpus, "entity_id").count() == 0
+    p = str(tmp_path / "r.tsv")
+    write(p, tables.TRUTH, [("S1-0", "S2-1,S2-1,X-1"), ("S1-99", ""), ("S1-1", ""), ("S1-1", "")])
+    issues = dict(tools.validate(spark, data, p))
+    assert issues == {"missing_source": 10, "extra_source": 1, "repeated_source": 1, "repeated_in_list": 1, "bad_prefix": 1, "unknown_id": 1}
+
+
 def test_clean_keeps_rows(spark, data):
     raw = tables.read_source(spark, f"{data}/train/train_source3.tsv", 3)
     cleaned = linkage.clean(raw)
