@@ -231,7 +231,7 @@ def links(distinct: DataFrame, n: int) -> list[DataFrame]:
     rounds = []
     while True:
         keyed = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), "fp")
-        found = cut(keyed.repartition("mask", "bits").sortWithinPartitions("mask", "bits").mapInArrow(_bucket_links, _LINK), "links")
+        found = cut(keyed.repartition("mask", "bits").sortWithinPartitions("mask", "bits", "fp").mapInArrow(_bucket_links, _LINK), "links")
         rounds.append(found)
         heavy = found.where("mask is not null")
         if not heavy.take(1):
@@ -256,7 +256,7 @@ def grouped_prints(prints: DataFrame, key: str = "doc_id") -> DataFrame:
         discard(r)
     # Only fingerprints with links are joined; all others are their own component.
     label = distinct.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    least = label.groupBy("root").agg(F.min("least").alias("component"))
+    least = cut(label.groupBy("root").agg(F.min("least").alias("component")), "least")
     by_print = label.join(least, "root").select("fp", "component")
     return prints.join(by_print, "fp").select(key, "fp", "component")
 
