@@ -6,9 +6,9 @@ languages. Features are hashed counts of adjacent byte pairs and triples of
 the whole text (letters only, others as a space), square-rooted and scaled to
 length one.
 
-Machines are fitted on a bounded sample: the ``PER_LANGUAGE`` rows of least
+Machines are fitted on a bounded sample: about ``PER_LANGUAGE`` rows of least
 hash for each language, out of rows whose crc32 of the id is not 2 modulo 4
-and whose language is known. Families are a table of languages; a language
+and whose language is known; ``SAMPLE`` rows and ``LANGUAGES`` languages at most. Families are a table of languages; a language
 that it lacks is a family of its own.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0. A null id
@@ -23,15 +23,17 @@ import re
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.rows import map_texts
 
-PER_LANGUAGE = 1_000
+PER_LANGUAGE = 600
+#: Languages that are learned, at most: those with most rows.
+LANGUAGES = 300
 #: Training rows' features on the driver, at most.
-SAMPLE = 20_000
+SAMPLE = 6_000
 _PAIRS, _TRIPLES = 1 << 11, 1 << 12
 WIDTH = _PAIRS + _TRIPLES
 _CHUNK = 1 << 20
@@ -76,8 +78,7 @@ def features(text: bytes) -> np.ndarray:
 
 
 def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 150) -> np.ndarray:
-    """Weights (last: bias) of a linear machine with squared hinge loss, by accelerated descent. y: 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
+    """Weights of a linear machine with squared hinge loss, by accelerated descent. y: 1 or -1; the last column of x is 1."""
     weight = np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum()))).astype(np.float32)
     w = v = np.zeros(x.shape[1], dtype=np.float32)
     rate = 1 / (1 + 4 * c * float(weight.max()))
@@ -101,7 +102,7 @@ class OneVersusOne:
         for a, b in self.pairs:
             own = (of == self.names[a]) | (of == self.names[b])
             rows.append(svm(x[own], np.where(of[own] == self.names[a], 1.0, -1.0).astype(np.float32)))
-        self.w = np.array(rows, dtype=np.float32).reshape(len(rows), x.shape[1] + 1)
+        self.w = np.array(rows, dtype=np.float32).reshape(len(rows), x.shape[1])
 
     def predict(self, x: np.ndarray) -> tuple[str, float]:
         if len(self.names) == 1:
@@ -143,9 +144,12 @@ def held_out(key: str = "doc_id") -> F.Column:
 
 def train(docs: DataFrame) -> Hierarchy:
     """Fit on the bounded sample; only the sampled texts are read for their features."""
-    ids = docs.where("doc_id is not null and lang is not null and text is not null").where(~held_out()).select("doc_id", "lang").distinct()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= PER_LANGUAGE).orderBy("n", "lang").limit(SAMPLE).select("doc_id", "lang")
+    ids = docs.where("doc_id is not null and lang is not null and text is not null").where(~held_out()).select("doc_id", "lang")
+    # Counts are a row for each language; ids are then chosen by their hash alone, so no language meets in one task.
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(LANGUAGES)
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", "lang"), 11) / float(1 << 53)
+    chosen = ids.join(F.broadcast(sizes), "lang").select("doc_id", "lang", (share * F.col("_n")).alias("_place")).where(F.col("_place") < PER_LANGUAGE)
+    sample = chosen.distinct().orderBy("_place", "lang", "doc_id").limit(SAMPLE).select("doc_id", "lang")
     rows = docs.select("doc_id", "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"])  # SAMPLE rows at most
 
     def make() -> Callable:
@@ -159,12 +163,18 @@ def train(docs: DataFrame) -> Hierarchy:
         return one
 
     fields = [("at", T.ArrayType(T.ShortType())), ("x", T.ArrayType(T.FloatType()))]
-    got = map_texts(rows, make, fields, keys=("doc_id", "lang")).where("at is not null").toPandas()
-    got = got.sort_values(["lang", "doc_id"], kind="stable").drop_duplicates(["lang", "doc_id"])
-    x = np.zeros((len(got), WIDTH), dtype=np.float32)
-    for i, (at, v) in enumerate(zip(got["at"], got["x"])):
-        x[i, np.asarray(at, dtype=np.int64)] = v
-    return Hierarchy(x, got["lang"].tolist())
+    got = map_texts(rows, make, fields, keys=("doc_id", "lang")).where("at is not null").toArrow()
+    first: dict[tuple, int] = {}
+    for n, key in enumerate(zip(got["lang"].to_pylist(), got["doc_id"].to_pylist())):
+        first.setdefault(key, n)
+    order = sorted(first)
+    x = np.zeros((len(order), WIDTH + 1), dtype=np.float32)
+    x[:, -1] = 1.0  # for the bias
+    places, values = got["at"].combine_chunks(), got["x"].combine_chunks()
+    for i, key in enumerate(order):
+        n = first[key]
+        x[i, places[n].values.to_numpy()] = values[n].values.to_numpy()
+    return Hierarchy(x, [lang for lang, _ in order])
 
 
 def predicted(docs: DataFrame) -> DataFrame:
