@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -173,24 +174,28 @@ def _minus_one():
         yield -1
 
 
-def _blocks(items: DataFrame) -> list[list[tuple[str, bytes]]]:
-    """Items in blocks of bounded size. Each block is a broadcast of its own; the loop holds one row at a time."""
-    blocks: list[list[tuple[str, bytes]]] = [[]]
+def _blocks(items: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
+    """Items in blocks of bounded size; one block is held at a time. At least one block, which may be empty."""
+    block: list[tuple[str, bytes]] = []
     size = 0
     plain = items.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("i is not null and t is not null").distinct()
     for r in plain.toLocalIterator():
         n = len(r["t"]) // 4
-        if blocks[-1] and size + n > BLOCK_WORDS:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r["i"], r["t"].encode()))
+        if block and size + n > BLOCK_WORDS:
+            yield block
+            block, size = [], 0
+        block.append((r["i"], r["t"].encode()))
         size += n
-    return blocks
+    yield block
 
 
-def _pass(docs: DataFrame, block: list[tuple[str, bytes]], window: int) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(block)
+def _broadcasts(items: DataFrame) -> list[Broadcast]:
+    """A broadcast for each block; Spark keeps them on disk, so the driver's memory does not grow with the items."""
+    context = items.sparkSession.sparkContext
+    return [context.broadcast(b) for b in _blocks(items)]
 
+
+def _pass(docs: DataFrame, held: Broadcast, window: int) -> DataFrame:
     def make() -> Callable:
         automaton = ItemAutomaton([(i, alnum_words(t)) for i, t in held.value], window)
 
@@ -212,7 +217,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     more, each pass is keyed by the text's hash beside doc_id and the passes
     are joined on both; distinct first, as the result depends on the text alone.
     """
-    blocks = _blocks(items)
+    blocks = _broadcasts(items)
     if len(blocks) == 1:
         return _pass(docs, blocks[0], window)
     key = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
@@ -231,8 +236,12 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
 
 def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Counts, digest of the items, and whether a twentieth or more of the words are hit."""
+    return _judge(matches(docs, items, window))
+
+
+def _judge(found: DataFrame) -> DataFrame:
     hit = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda x: F.sequence(x["s"], x["e"] - 1))))).cast("long")
-    return matches(docs, items, window).select(
+    return found.select(
         "doc_id",
         "n_words",
         hit.alias("n_hit"),
@@ -248,9 +257,9 @@ def cleaned(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     With one block of items the decision is made row by row, without a join;
     with more, rows find it through their text's hash.
     """
-    blocks = _blocks(items)
+    blocks = _broadcasts(items)
     if len(blocks) == 1:
-        held = docs.sparkSession.sparkContext.broadcast(blocks[0])
+        held = blocks[0]
 
         @F.arrow_udf("boolean")
         def contaminated(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -266,7 +275,7 @@ def cleaned(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
         return docs.withColumn("_contaminated", contaminated("text")).where(~F.col("_contaminated")).drop("_contaminated")
     h = F.sha2(F.coalesce("text", F.lit("")), 256)
     texts = docs.select(h.alias("doc_id"), "text").groupBy("doc_id").agg(F.first("text").alias("text"))
-    bad = judged(texts, items, window).where("contaminated").select(F.col("doc_id").alias("_h"))
+    bad = _judge(matches(texts, items, window)).where("contaminated").select(F.col("doc_id").alias("_h"))
     return docs.withColumn("_h", h).join(bad, "_h", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
