@@ -183,10 +183,13 @@ def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
     one = docs.select("doc_id", "text", "source", "lang", "n_chars").join(wanted, "doc_id")
     # Views, not texts, come to the driver: 65 numbers a row.
     view = _view_udf()
-    got = one.select("doc_id", "y", view("text", "source", "lang", "n_chars").alias("v")).toPandas()
-    got = got.assign(h=[zlib.crc32(str(i).encode()) for i in got["doc_id"]]).sort_values(["h", "doc_id"], kind="stable").drop_duplicates("doc_id")
-    x = np.array(got["v"].tolist()).reshape(-1, TEXT_WIDTH + META_WIDTH)
-    y = got["y"].to_numpy(dtype=float)
+    got = one.select("doc_id", "y", view("text", "source", "lang", "n_chars").alias("v")).toArrow()
+    first: dict = {}
+    for n, i in enumerate(got["doc_id"].to_pylist()):
+        first.setdefault(i, n)
+    order = [first[i] for i in sorted(first, key=lambda i: (zlib.crc32(str(i).encode()), i))]
+    x = got["v"].combine_chunks().flatten().to_numpy().reshape(-1, TEXT_WIDTH + META_WIDTH)[order]
+    y = got["y"].to_numpy()[order]
     have = ~np.isnan(y)
     a, b = x[:, :TEXT_WIDTH], x[:, TEXT_WIDTH:]
     return CoTrained(a[have], b[have], y[have], a[~have], b[~have])
