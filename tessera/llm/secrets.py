@@ -28,7 +28,7 @@ from tessera.llm.rows import map_texts
 from tessera.session import work_path
 
 #: Names the rules below in the ledger; change it with them.
-RULE_VERSION = "2"
+RULE_VERSION = "3"
 
 _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""")
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -36,11 +36,17 @@ _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_k
 #: Findings of more bytes than this are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
+_BEGIN = re.compile(rb"-----BEGIN (?:[A-Z]{2,12} )?PRIVATE KEY-----")
+_END = re.compile(rb"-----END (?:[A-Z]{2,12} )?PRIVATE KEY-----")
+#: What follows a header whose END line is missing: named fields, then long base64 runs and lines of nothing but base64. A line break may be written out, as in JSON.
+_BREAK = rb"[\x20\t>]*(?:\r?\n|\r|\\r\\n|\\n)[\x20\t>]*"
+_BODY = re.compile(rb"(?:%b[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*)*(?:%b)*(?:(?:\s|\\[nr])*[A-Za-z0-9+/=]{16,}|%b[A-Za-z0-9+/=]+(?=[\x20\t]*(?:[\r\n\\\"']|\Z)))*" % (_BREAK, _BREAK, _BREAK))
+
 #: Base kinds, in the order in which spans that start together are listed.
 BASE = ("assign", "access", "hex")
 #: Further kinds: literal that must occur, pattern.
 MORE: dict[str, tuple[bytes, re.Pattern]] = {
-    "pem": (b"PRIVATE KEY-----", re.compile(rb"-----BEGIN (?:[A-Z]{2,12} )?PRIVATE KEY-----")),
+    "pem": (b"PRIVATE KEY-----", _BEGIN),
     "jwt": (b"eyJ", re.compile(rb"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")),
     "hosted": (b"_", re.compile(rb"(?:gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,})")),
     "login": (b"://", re.compile(rb"[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._-]+:[^\x00-\x20@/:]{3,}@")),
@@ -53,6 +59,13 @@ _HEX = re.compile(rb"[0-9a-f]{32,}")
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 
 
+def _key_end(text: bytes, at: int) -> int:
+    """Where the key ends whose header ends at ``at``: with its END line, or without one with its body."""
+    following = _BEGIN.search(text, at)
+    end = _END.search(text, at, following.start() if following else len(text))
+    return end.end() if end else _BODY.match(text, at).end()
+
+
 def find(text: bytes | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then kind as listed.
 
@@ -71,7 +84,7 @@ def find(text: bytes | None) -> list[tuple[str, int, int]]:
     got += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     for k, (literal, pattern) in enumerate(MORE.values(), len(BASE)):
         if literal in text:
-            got += [(m.start(), k, m.end()) for m in pattern.finditer(text)]
+            got += [(m.start(), k, _key_end(text, m.end()) if pattern is _BEGIN else m.end()) for m in pattern.finditer(text)]
     if not got:
         return []
     got.sort()
