@@ -2,13 +2,16 @@
 
 Two parts over whole texts. The base part lists every place where a phrase's
 words stand consecutively. The method is an exact set-similarity join between
-license templates and the text's blocks (lines): tokens are ordered by their
+license templates and the text's blocks: its lines, and, as notices are wrapped,
+its windows of as many words as the template has, over line ends. For lines,
+tokens are ordered by their
 document frequency in the whole corpus, rarest first; a block can reach
 containment ``|T & B| >= t = ceil(threshold * |T|)`` only if it holds one of the
 template's first ``|T| - t + 1`` tokens (prefix filter), has at least ``t`` tokens
 (length filter), and if enough tokens of the template are left behind the
 first shared one (positional filter). Survivors are verified by intersection,
-so exactly the blocks that meet the threshold are found.
+so exactly the blocks that meet the threshold are found. Windows are counted
+word by word in texts that hold ``t`` of the template's tokens.
 
 Only template tokens can overlap, so only their frequencies are counted. The
 templates are a parameter of at most ``TEMPLATE_LIMIT`` entries; documents,
@@ -53,6 +56,7 @@ class TemplateIndex:
     def __init__(self, templates, df: dict[bytes, int], threshold: float = THRESHOLD):
         self.order = {w: i for i, w in enumerate(sorted({w for _, t in templates for w in alnum_words(t.encode())}, key=lambda w: (df.get(w, 0), w)))}
         self.rows: list[tuple[str, frozenset, int, int]] = []
+        self.lengths: list[int] = []
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         for label, text in templates:
             tokens = sorted(set(alnum_words(text.encode())), key=self.order.__getitem__)
@@ -62,6 +66,7 @@ class TemplateIndex:
             for at, w in enumerate(tokens[: len(tokens) - need + 1]):
                 self.postings.setdefault(w, []).append((len(self.rows), at))
             self.rows.append((label, frozenset(tokens), need, len(tokens)))
+            self.lengths.append(len(alnum_words(text.encode())))
         self.probes = tuple(self.postings)
 
     def match(self, block: bytes) -> list[tuple[str, float]]:
@@ -82,6 +87,31 @@ class TemplateIndex:
                 out.append((label, shared / size))
         return out
 
+    def match_windows(self, words: list[bytes], have: set[bytes]) -> list[tuple[str, float]]:
+        """Templates that some window of as many words as the template contains to the threshold.
+
+        Windows run over line ends. ``have``: the template tokens among ``words``.
+        """
+        out = []
+        for (label, own, need, size), length in zip(self.rows, self.lengths):
+            if len(own & have) < need:
+                continue
+            hits = [(i, w) for i, w in enumerate(words) if w in own]
+            held: dict[bytes, int] = {}
+            first = most = 0
+            for i, w in hits:
+                held[w] = held.get(w, 0) + 1
+                while hits[first][0] <= i - length:
+                    gone = hits[first][1]
+                    held[gone] -= 1
+                    if not held[gone]:
+                        del held[gone]
+                    first += 1
+                most = max(most, len(held))
+            if most >= need:
+                out.append((label, most / size))
+        return out
+
 
 def base_places(words: list[bytes], phrases=PHRASES) -> tuple[list[int], set[str]]:
     """Start of every place of every phrase, and the labels found."""
@@ -139,10 +169,13 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
             starts, base = base_places(words, phrases) if any(h in words for h in heads) else ([], set())
             labels, score = set(base), 1.0 if base else 0.0
             if any(p in have for p in index.probes):
-                for block in text.split(b"\n"):
-                    for label, contained in index.match(block):
-                        labels.add(label)
-                        score = max(score, contained)
+                lines = text.split(b"\n")
+                found = [x for block in lines for x in index.match(block)]
+                if len(lines) > 1:
+                    found += index.match_windows(words, have)
+                for label, contained in found:
+                    labels.add(label)
+                    score = max(score, contained)
             return (
                 len(words), len(starts), min(starts, default=None), max(starts, default=None),
                 ",".join(sorted(base)), ",".join(sorted(labels)), float(score),
