@@ -21,7 +21,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words less than a twentieth lie in benchmark windows."""
+    """Documents of whose words less than a twentieth lie in benchmark windows, without their longer hit spans."""
     return decontam.cleaned(docs, table(spark, sf_dir, "benchmark"))
 
 

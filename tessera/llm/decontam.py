@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
@@ -32,6 +33,8 @@ from tessera.llm.rows import alnum_words, map_texts, utf8
 WINDOW = 13
 #: Words of items in one automaton: about 100 MB in a task.
 BLOCK_WORDS = 200_000
+#: A kept document keeps hit spans up to this length, such as quotations; longer ones are cut out.
+SPAN_WORDS = 50
 _HASHED = 1 << 22
 
 
@@ -239,44 +242,81 @@ def judged(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
     return _judge(matches(docs, items, window))
 
 
-def _judge(found: DataFrame) -> DataFrame:
+def _counted(found: DataFrame) -> DataFrame:
     hit = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda x: F.sequence(x["s"], x["e"] - 1))))).cast("long")
-    return found.select(
+    return found.withColumn("n_hit", hit).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
+
+
+def _judge(found: DataFrame) -> DataFrame:
+    return _counted(found).select(
         "doc_id",
         "n_words",
-        hit.alias("n_hit"),
+        "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"),
+        "contaminated",
     )
 
 
-def cleaned(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that are not contaminated; the same columns.
+def cleaned(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int = SPAN_WORDS) -> DataFrame:
+    """The documents that are not contaminated, without their hit spans of more than ``most`` words; the same columns.
 
-    With one block of items the decision is made row by row, without a join;
-    with more, rows find it through their text's hash.
+    With one block of items this is done row by row, without a join; with
+    more, rows find their spans through their text's hash. ``n_chars``, where
+    there is one, follows a new text.
     """
     blocks = _broadcasts(items)
     if len(blocks) == 1:
         held = blocks[0]
 
-        @F.arrow_udf("boolean")
-        def contaminated(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        @F.arrow_udf("bad boolean, text string")
+        def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             automaton = ItemAutomaton([(i, alnum_words(t)) for i, t in held.value], window)
             for texts in batches:
-                out = []
+                bad, new = [], []
                 for t in utf8(texts):
                     words = alnum_words(t)
-                    hit = sum(b - a for a, b in automaton.scan(words)[0])
-                    out.append(hit > 0 and 20 * hit >= len(words))
-                yield pa.array(out, type=pa.bool_())
-
-        return docs.withColumn("_contaminated", contaminated("text")).where(~F.col("_contaminated")).drop("_contaminated")
+                    spans = automaton.scan(words)[0]
+                    hit = sum(b - a for a, b in spans)
+                    bad.append(hit > 0 and 20 * hit >= len(words))
+                    long = not bad[-1] and any(b - a > most for a, b in spans)
+                    new.append(without_spans(t.decode(), spans, most) if long else None)
+                yield pa.StructArray.from_arrays([pa.array(bad, type=pa.bool_()), pa.array(new, type=pa.string())], names=["bad", "text"])
+
+        # Not deterministic for Spark, so that it is not run again for the filter.
+        seen = docs.withColumn("_judged", judge.asNondeterministic()("text"))
+        return _with_texts(seen.where(~F.col("_judged.bad")).withColumn("_new", F.col("_judged.text")), docs.columns)
     h = F.sha2(F.coalesce("text", F.lit("")), 256)
     texts = docs.select(h.alias("doc_id"), "text").groupBy("doc_id").agg(F.first("text").alias("text"))
-    bad = _judge(matches(texts, items, window)).where("contaminated").select(F.col("doc_id").alias("_h"))
-    return docs.withColumn("_h", h).join(bad, "_h", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    hits = _counted(matches(texts, items, window)).where("n_hit > 0").select(F.col("doc_id").alias("_h"), "contaminated", F.col("spans").alias("_spans"))
+
+    @F.pandas_udf("string")
+    def shorter(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else without_spans(t, merged(x), most) for t, x in zip(texts, spans)], dtype=object)
+
+    held_rows = docs.withColumn("_h", h).join(hits, "_h", "left").where(~F.coalesce("contaminated", F.lit(False)))
+    # Only texts with spans go to Python; the others stay null there.
+    return _with_texts(held_rows.withColumn("_new", shorter(F.when(F.col("_spans").isNotNull(), F.col("text")), "_spans")), docs.columns)
+
+
+def merged(spans) -> list[tuple[int, int]]:
+    """Spans of several passes, those that overlap or touch made one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((x["s"], x["e"]) for x in spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _with_texts(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of ``docs``, where ``_new`` takes the place of the text if it is not null."""
+    changed = F.col("_new").isNotNull()
+    new = {"text": F.coalesce("_new", "text")}
+    if "n_chars" in columns:
+        new["n_chars"] = F.when(changed, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return docs.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in columns])
 
 
 def without_spans(text: str, spans: list[tuple[int, int]], most: int = 0) -> str:
