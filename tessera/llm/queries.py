@@ -114,14 +114,13 @@ FROM d LEFT JOIN hits USING (rid) LEFT JOIN its USING (rid)
 
 _OP5 = f"""
 WITH v AS (
-  SELECT vec_id AS id, min(list_transform(embedding, lambda x: floor({topk.SCALE} * CAST(x AS DOUBLE)))) AS x
+  SELECT row_number() OVER () AS rid, vec_id AS id, list_transform(embedding, lambda x: floor({topk.SCALE} * CAST(x AS DOUBLE))) AS x
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.id AS query_id, c.id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.id % 100 = 0 AND q.id <> c.id)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  SELECT q.rid, q.id AS query_id, c.id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.id % 100 = 0 AND q.rid <> c.rid)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= {topk.K}
 """
 

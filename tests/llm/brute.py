@@ -88,17 +88,13 @@ def grouped(pairs, radius=4):
 
 
 def topk(rows, k=10):
-    ok = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        q = tuple(math.floor(1024 * x) for x in v)
-        ok[i] = min(ok.get(i, q), q)
-    out = set()
-    for i in ok:
+    """A list, as a repeated query row is answered as often."""
+    ok = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, (i, q) in enumerate(ok):
         if i % 100 == 0:
-            best = sorted((-sum(a * b for a, b in zip(ok[i], ok[j])), j) for j in ok if j != i)[:k]
-            out |= {(i, n, j, -s) for n, (s, j) in enumerate(best, 1)}
+            best = sorted((-sum(x * y for x, y in zip(q, v)), j) for b, (j, v) in enumerate(ok) if b != a)[:k]
+            out += [(i, n, j, -s) for n, (s, j) in enumerate(best, 1)]
     return out
 
 

@@ -134,18 +134,20 @@ def test_topk(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     vectors = [(0, [0.5, -0.25]), (100, [1.0, 1.0]), (100, [1.0, 1.0]), (7, None), (8, [1.0, None]), (9, [1.0, float("inf")]), (10, [float("nan"), 0.0]), (None, [1.0, 1.0]), (11, [1.0])]
     vectors += [(i, [0.5, 0.5]) for i in range(200, 230)]
-    small = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
-    for df in (table, small, small.limit(0)):
+    vectors += [(7, [5.0]), (7, [9.0]), (100, [1.0, 2.0]), (200, [0.5, 0.5]), (300, [-3.0, 0.0]), (400, [1e6, 1e6]), (401, [1e6, 1e6])]
+    small = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    for df in (table, small, small.limit(0), small.limit(1)):
         want = brute.topk([(r["vec_id"], r["embedding"]) for r in df.collect()])
         x = topk.components(df)
         got = topk.search(x, x.where("id % 100 = 0"))
         assert rows(got, "query_id", "rank", "vec_id", "score") == Counter(want)
 
 
-def test_topk_in_query_blocks(spark, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
-    monkeypatch.setattr(topk, "SHARD", 50)
+def test_topk_in_tiles(spark, monkeypatch):
+    for name, value in (("QUERY_BLOCK", 2), ("PIECE", 40), ("LEAST_PIECE", 20), ("SHARD", 16), ("SEED", 30), ("CELLS", 4), ("PARTITIONS", 5)):
+        monkeypatch.setattr(topk, name, value)
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    df = df.unionByName(df.where("vec_id < 300")).unionByName(df.where("vec_id = 100")).unionByName(df.selectExpr("vec_id % 7 * 100 as vec_id", "embedding", "label").limit(40))
     x = topk.components(df)
     want = brute.topk([(r["vec_id"], r["embedding"]) for r in df.collect()])
     assert rows(topk.search(x, x.where("id % 100 = 0")), "query_id", "rank", "vec_id", "score") == Counter(want)
