@@ -7,9 +7,9 @@ lacks go to the ``tokenizers`` library in one call per Arrow batch. A text's
 ids are then one join of bytes, and decoding is one join over the byte table
 that reverses the printable stand-ins of the vocabulary.
 
-Nulls: a null text is the empty text: no ids, no bytes. Special tokens in a
-text are ordinary text. Repeated rows give repeated results; null keys stay.
-Very long texts are encoded whole.
+Nulls: a null text is the empty text: no ids, no bytes. Bytes that are no UTF-8
+are taken as U+FFFD. Special tokens in a text are ordinary text. Repeated rows
+give repeated results; null keys stay. Very long texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tessera.llm.rows import utf8
+from tessera.llm.rows import decoded, utf8
 
 #: Pre-tokens that a task remembers before it starts its memo anew.
 MEMO = 400_000
@@ -99,7 +99,7 @@ def _run(docs: DataFrame, json_path: str, pattern: str, key: str, text: str, sch
             for at in range(0, whole.num_rows, 512):  # bounds the pre-tokens held at once
                 batch = whole.slice(at, 512)
                 raw = [x or b"" for x in utf8(batch.column("t"))]
-                texts = [x.decode() for x in raw]
+                texts = [decoded(x) for x in raw]
                 rows = [row(bpe, t, ids) for t, ids in zip(texts, bpe.ids_bytes(texts))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("k").cast(arrow.field(0).type)]
@@ -137,7 +137,7 @@ def decode(encoded: DataFrame, json_path: str, pattern: str, key: str = "doc_id"
     def run(batches):
         bpe = ByteBpe(json_path, pattern)
         for b in batches:
-            texts = [None if x is None else bpe.decode(x).decode("utf-8", "replace") for x in b.column("ids").to_pylist()]
+            texts = [None if x is None else decoded(bpe.decode(x)) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("k").cast(arrow.field(0).type), pa.array(texts, type=arrow.field(1).type)], schema=arrow)
 
     return plain.mapInArrow(run, schema).withColumnRenamed("k", key)

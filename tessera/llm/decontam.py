@@ -13,7 +13,8 @@ make further passes, so the memory of a task has a bound at any number of items.
 
 Nulls: a null text has no words: not contaminated, no items. Items with null
 id or no words take no part. Repeated items count once by id. An empty
-``items`` table: no hits.
+``items`` table: no hits. Bytes that are no UTF-8 belong to words, as letters
+beyond ASCII do; in a text that is cut they become U+FFFD.
 """
 
 from __future__ import annotations
@@ -21,14 +22,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.rows import alnum_words, map_texts, utf8
+from tessera.llm.rows import alnum_words, decoded, map_texts, numbered, utf8
 
 WINDOW = 13
 #: Words of items in one automaton: about 100 MB in a task.
@@ -266,6 +266,8 @@ def cleaned(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int =
     there is one, follows a new text.
     """
     blocks = _broadcasts(items)
+    plain, at = numbered(docs)
+    text = F.col(at["text"])
     if len(blocks) == 1:
         held = blocks[0]
 
@@ -280,23 +282,23 @@ def cleaned(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: int =
                     hit = sum(b - a for a, b in spans)
                     bad.append(hit > 0 and 20 * hit >= len(words))
                     long = not bad[-1] and any(b - a > most for a, b in spans)
-                    new.append(without_spans(t.decode(), spans, most) if long else None)
+                    new.append(without_spans(decoded(t), spans, most) if long else None)
                 yield pa.StructArray.from_arrays([pa.array(bad, type=pa.bool_()), pa.array(new, type=pa.string())], names=["bad", "text"])
 
         # Not deterministic for Spark, so that it is not run again for the filter.
-        seen = docs.withColumn("_judged", judge.asNondeterministic()("text"))
-        return _with_texts(seen.where(~F.col("_judged.bad")).withColumn("_new", F.col("_judged.text")), docs.columns)
-    h = F.sha2(F.coalesce("text", F.lit("")), 256)
-    texts = docs.select(h.alias("doc_id"), "text").groupBy("doc_id").agg(F.first("text").alias("text"))
-    hits = _counted(matches(texts, items, window)).where("n_hit > 0").select(F.col("doc_id").alias("_h"), "contaminated", F.col("spans").alias("_spans"))
+        seen = plain.withColumn("judged", judge.asNondeterministic()(text))
+        return _with_texts(seen.where(~F.col("judged.bad")).withColumn("new", F.col("judged.text")), docs, at)
+    h = F.sha2(F.coalesce(text, F.lit("")), 256)
+    texts = plain.select(h.alias("doc_id"), text.alias("text")).groupBy("doc_id").agg(F.first("text").alias("text"))
+    hits = _counted(matches(texts, items, window)).where("n_hit > 0").select(F.col("doc_id").alias("h"), "contaminated", "spans")
 
-    @F.pandas_udf("string")
-    def shorter(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else without_spans(t, merged(x), most) for t, x in zip(texts, spans)], dtype=object)
+    @F.arrow_udf("string")
+    def shorter(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else without_spans(decoded(t), merged(x), most) for t, x in zip(utf8(texts), spans.to_pylist())], type=pa.string())
 
-    held_rows = docs.withColumn("_h", h).join(hits, "_h", "left").where(~F.coalesce("contaminated", F.lit(False)))
+    held_rows = plain.withColumn("h", h).join(hits, "h", "left").where(~F.coalesce("contaminated", F.lit(False)))
     # Only texts with spans go to Python; the others stay null there.
-    return _with_texts(held_rows.withColumn("_new", shorter(F.when(F.col("_spans").isNotNull(), F.col("text")), "_spans")), docs.columns)
+    return _with_texts(held_rows.withColumn("new", shorter(F.when(F.col("spans").isNotNull(), text), "spans")), docs, at)
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -310,13 +312,12 @@ def merged(spans) -> list[tuple[int, int]]:
     return out
 
 
-def _with_texts(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs``, where ``_new`` takes the place of the text if it is not null."""
-    changed = F.col("_new").isNotNull()
-    new = {"text": F.coalesce("_new", "text")}
-    if "n_chars" in columns:
-        new["n_chars"] = F.when(changed, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return docs.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in columns])
+def _with_texts(plain: DataFrame, docs: DataFrame, at: dict[str, str]) -> DataFrame:
+    """The columns of ``docs``, where ``new`` takes the place of the text if it is not null."""
+    new = {"text": F.coalesce("new", at["text"])}
+    if "n_chars" in at:
+        new["n_chars"] = F.when(F.col("new").isNotNull(), F.length("new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(at["n_chars"]))
+    return plain.select(*[new.get(c, F.col(at[c])).alias(c) for c in docs.columns])
 
 
 def without_spans(text: str, spans: list[tuple[int, int]], most: int = 0) -> str:

@@ -30,6 +30,17 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def decoded(text: bytes) -> str:
+    """The text; bytes that are no UTF-8, which Parquet may hold, become U+FFFD."""
+    return text.decode("utf-8", "replace")
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with its columns named by place, so that no name of ours can clash, and the new name of each."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
 def map_texts(
     docs: DataFrame,
     make: Callable[[], Callable[[bytes | None], tuple]],

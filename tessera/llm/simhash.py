@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.components import components
-from tessera.llm.rows import map_texts
+from tessera.llm.rows import map_texts, numbered
 from tessera.session import cut, discard
 
 WORDS, SEED, RADIUS = 4, 42, 4
@@ -275,21 +275,25 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     kept = grouped_prints(prints).where(F.col("doc_id").eqNullSafe(F.col("component"))).select("doc_id", "fp")
     kept = cut(kept, "kept")
     n, ids = kept.agg(F.count("*"), F.countDistinct("doc_id")).first()
+    plain, at = numbered(docs)
     if n == ids:
-        return docs.join(kept.select(F.col("doc_id").alias("_kept")), docs["doc_id"] == F.col("_kept"), "left_semi")
-    return _one_of_each(docs, prints, n)
+        one = plain.join(kept.select(F.col("doc_id").alias("kept")), F.col(at["doc_id"]) == F.col("kept"), "left_semi")
+    else:
+        one = _one_of_each(plain, prints, at["doc_id"], at["text"])
+    return one.toDF(*docs.columns)
 
 
-def _one_of_each(docs: DataFrame, prints: DataFrame, n: int) -> DataFrame:
+def _one_of_each(docs: DataFrame, prints: DataFrame, key: str, text: str) -> DataFrame:
     """The slower way for null or repeated ids: rows take their component through their text's hash."""
-    spark = docs.sparkSession
-    h = F.sha2(F.coalesce("text", F.lit("")), 256)
-    texts = docs.select(h.alias("h"), F.coalesce("text", F.lit("")).alias("t")).groupBy("h").agg(F.first("t").alias("t"))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    h = F.sha2(whole, 256)
+    texts = docs.select(h.alias("h"), whole.alias("t")).groupBy("h").agg(F.first("t").alias("t"))
     by_text = cut(map_texts(texts, lambda: lambda t: (_signed(fingerprint(t)),), [("fp", T.LongType())], keys=("h",), text="t"), "by-text")
     by_print = grouped_prints(prints).select("fp", "component").distinct()
-    of = by_text.join(by_print, "fp").select(F.col("h").alias("_h"), F.col("fp").alias("_fp"), F.col("component").alias("_component"))
-    rows = docs.withColumn("_h", h).join(of, "_h").where(F.col("doc_id").eqNullSafe(F.col("_component")))
-    # A component without any id is as good as one id: its least fingerprint's least text stays.
-    best = rows.groupBy(F.coalesce(F.col("_component").cast("string"), F.lit("null")).alias("_c")).agg(F.min("_h").alias("_h"))
-    one = rows.join(best.select(F.col("_h").alias("_best"), F.col("_c")), (F.col("_h") == F.col("_best")) & (F.coalesce(F.col("_component").cast("string"), F.lit("null")) == F.col("_c")), "left_semi")
-    return one.dropDuplicates(["_h", "doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    of = by_text.join(by_print, "fp").select("h", "component")
+    rows = docs.withColumn("h", h).join(of, "h").where(F.col(key).eqNullSafe(F.col("component")))
+    # A component without any id is as good as one id: its least text stays.
+    label = F.coalesce(F.col("component").cast("string"), F.lit("null"))
+    best = rows.groupBy(label.alias("group")).agg(F.min("h").alias("best"))
+    one = rows.join(best, (F.col("h") == F.col("best")) & (label == F.col("group")), "left_semi")
+    return one.dropDuplicates(["h", key]).select(*docs.columns)
