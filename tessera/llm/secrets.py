@@ -5,13 +5,16 @@ Parquet folder of (blob, rule version, findings): a scan hashes all rows, drops
 blobs that the ledger already holds for this rule version, keeps one copy of
 each unseen blob (partial aggregation first, so copies do not travel), scans
 it, appends the findings, and joins the ledger back to every row. A second run
-over the same texts scans nothing; a new rule version scans each blob once.
+over the same texts scans nothing; a new rule version, which is a digest of the
+patterns, scans each blob once. An entry is one row, complete in itself; where
+two runs that overlap leave a blob with several, which are equal, one counts.
 
 All characters that a rule can match are ASCII, so rules run on UTF-8 bytes
 and only the ends of spans are turned into code points.
 
 Nulls: a null text is the empty text: no spans. Null and repeated keys keep
-their rows. An empty table makes an empty result.
+their rows. An empty table makes an empty result. Bytes that are no UTF-8 count
+as U+FFFD, and stand so in a redacted text.
 """
 
 from __future__ import annotations
@@ -19,23 +22,17 @@ from __future__ import annotations
 import hashlib
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.rows import map_texts
+from tessera.llm.rows import decoded, map_texts, numbered, utf8
 from tessera.session import work_path
 
-#: Names the rules below in the ledger; change it with them.
-RULE_VERSION = "3"
-
 _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""")
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-#: Findings of more bytes than this are joined by a shuffle.
-BROADCAST_BYTES = 32 << 20
-
 _BEGIN = re.compile(rb"-----BEGIN (?:[A-Z]{2,12} )?PRIVATE KEY-----")
 _END = re.compile(rb"-----END (?:[A-Z]{2,12} )?PRIVATE KEY-----")
 #: What follows a header whose END line is missing: named fields, then long base64 runs and lines of nothing but base64. A line break may be written out, as in JSON.
@@ -56,6 +53,14 @@ KINDS = (*BASE, *MORE)
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(rb"[0-9a-f]{32,}")
 
+#: Names the rules in the ledger: a digest of all patterns and least lengths.
+RULE_VERSION = hashlib.sha256(
+    b"\n".join([*(p.pattern for p in (_ASSIGN, _ACCESS, _HEX, _BEGIN, _END, _BODY)), b"8", *(k.encode() + b":" + lit + b":" + p.pattern for k, (lit, p) in MORE.items())])
+).hexdigest()[:16]
+
+#: Findings of more bytes than this are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
+
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 
 
@@ -93,7 +98,7 @@ def find(text: bytes | None) -> list[tuple[str, int, int]]:
     ends = sorted({x for a, _, b in got for x in (a, b)})
     at, point, done = {}, 0, 0
     for x in ends:
-        point += len(text[done:x].decode())
+        point += len(decoded(text[done:x]))
         at[x], done = point, x
     return [(KINDS[k], at[a], at[b]) for a, k, b in got]
 
@@ -109,11 +114,7 @@ def _exists(spark, path: str) -> bool:
 
 
 def update_ledger(versions: DataFrame, ledger: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Scan the blobs that ``ledger`` lacks for this rule version; return its entries for the version.
-
-    The append is one Spark write: a failed run leaves no half entry that the
-    next one would take for scanned.
-    """
+    """Scan the blobs that ``ledger`` lacks for this rule version; return its entries for the version."""
     spark = versions.sparkSession
     unseen = blobs(versions, key, text).select("blob_id", "t")
     if _exists(spark, ledger):
@@ -125,9 +126,13 @@ def update_ledger(versions: DataFrame, ledger: str, key: str = "doc_id", text: s
     return spark.read.parquet(ledger).where(F.col("rule_version") == RULE_VERSION)
 
 
-def _small(found: DataFrame, spans: str) -> DataFrame:
-    """Marked for broadcast if its counted size allows it; else Spark shuffles, and splits hot blobs."""
-    n, m = found.agg(F.count("*"), F.coalesce(F.sum(F.size(spans)), F.lit(0))).first()
+def _findings(entries: DataFrame) -> DataFrame:
+    """(blob_id, spans) of each blob with findings, once.
+
+    Marked for broadcast if its counted size allows it; else Spark shuffles, and splits hot blobs.
+    """
+    found = entries.where(F.size("spans") > 0).groupBy("blob_id").agg(F.first("spans").alias("spans"))
+    n, m = found.agg(F.count("*"), F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()
     return F.broadcast(found) if n * 120 + m * 40 <= BROADCAST_BYTES else found
 
 
@@ -138,7 +143,7 @@ def scan(docs: DataFrame, ledger: str | None = None, key: str = "doc_id", text:
     no partner; Spark splits a hot blob with findings.
     """
     ledger = ledger or work_path(docs.sparkSession, "ledger")
-    found = _small(update_ledger(docs, ledger, key, text).where(F.size("spans") > 0).select("blob_id", "spans"), "spans")
+    found = _findings(update_ledger(docs, ledger, key, text))
     return (
         blobs(docs, key, text)
         .select("k", "blob_id")
@@ -175,20 +180,22 @@ def redacted(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     ids do not matter. ``n_chars``, where there is one, follows the new text.
     """
     ledger = ledger or work_path(docs.sparkSession, "ledger")
-    found = _small(update_ledger(docs, ledger).where(F.size("spans") > 0).select(F.col("blob_id").alias("_blob"), F.col("spans").alias("_spans")), "_spans")
-    joined = docs.withColumn("_blob", F.sha2(F.coalesce("text", F.lit("")), 256)).join(found, "_blob", "left")
+    found = _findings(update_ledger(docs, ledger))
+    plain, at = numbered(docs)
+    text = F.col(at["text"])
+    joined = plain.withColumn("blob_id", F.sha2(F.coalesce(text, F.lit("")), 256)).join(found, "blob_id", "left")
 
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else redact(t, [(s["start"], s["end"]) for s in x]) for t, x in zip(texts, spans)], dtype=object)
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else redact(decoded(t), [(s["start"], s["end"]) for s in x]) for t, x in zip(utf8(texts), spans.to_pylist())], type=pa.string())
 
-    hit = F.col("_spans").isNotNull()
+    hit = F.col("spans").isNotNull()
     # Only texts with findings go to Python; the others stay null there.
-    out = joined.withColumn("_clean", clean(F.when(hit, F.col("text")), "_spans"))
-    new = {"text": F.when(hit, F.col("_clean")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(hit, F.length("_clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    out = joined.withColumn("clean", clean(F.when(hit, text), "spans"))
+    new = {"text": F.when(hit, F.col("clean")).otherwise(text)}
+    if "n_chars" in at:
+        new["n_chars"] = F.when(hit, F.length("clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(at["n_chars"]))
+    return out.select(*[new.get(c, F.col(at[c])).alias(c) for c in docs.columns])
 
 
 def base_digest(spans: list[tuple[str, int, int]]) -> str:
