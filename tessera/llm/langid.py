@@ -8,12 +8,18 @@ length one.
 
 Machines are fitted on a bounded sample: about ``PER_LANGUAGE`` rows of least
 hash for each language, out of rows whose crc32 of the id is not 2 modulo 4
-and whose language is known; ``SAMPLE`` rows and ``LANGUAGES`` languages at most. Families are a table of languages; a language
-that it lacks is a family of its own.
+and whose language is known; ``SAMPLE`` rows at most, of which every language
+has its share. An id that stands in many rows counts once for each language,
+with the row whose text has the least hash. Families are a table of languages;
+a language that it lacks is a family of its own. A choice among more than
+``FAN`` branches is split: branches are put in order along the main direction
+of their means and cut into ``FAN`` groups, which are discriminated first. So
+machines grow with the number of languages, not with its square.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0. A null id
 is never held out and never learned from. Without any learned language all
-rows are ``und``; with one, every text with a letter has that language.
+rows are ``und``; with one, every text with a letter has that language. Bytes
+that are no UTF-8 count as bytes of letters in the features.
 """
 
 from __future__ import annotations
@@ -28,12 +34,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.rows import map_texts
+from tessera.session import cut, discard
 
 PER_LANGUAGE = 600
-#: Languages that are learned, at most: those with most rows.
-LANGUAGES = 300
-#: Training rows' features on the driver, at most.
+#: Training rows' features on the driver, at most: about 150 MB.
 SAMPLE = 6_000
+#: Branches of one choice, at most.
+FAN = 16
+#: A table of languages and their numbers of rows is broadcast up to so many rows.
+BROADCAST_ROWS = 100_000
 _PAIRS, _TRIPLES = 1 << 11, 1 << 12
 WIDTH = _PAIRS + _TRIPLES
 _CHUNK = 1 << 20
@@ -117,25 +126,56 @@ class OneVersusOne:
         return self.names[best], float(total[best] / (len(self.names) - 1))
 
 
+def _grouped(x: np.ndarray, heads: list[str]) -> list[str]:
+    """For each row the group of its branch: branches along the main direction of their means, cut into ``FAN`` runs."""
+    of = np.array(heads)
+    names = sorted(set(heads))
+    means = np.stack([x[of == n].mean(axis=0) for n in names])
+    means -= means.mean(axis=0)
+    v = np.ones(x.shape[1], dtype=x.dtype)
+    for _ in range(20):
+        v = means.T @ (means @ v) + 1e-12
+        v /= np.linalg.norm(v)
+    order = np.argsort(means @ v, kind="stable")
+    group = {names[n]: f"group {at * FAN // len(names):02}" for at, n in enumerate(order)}
+    return [group[h] for h in heads]
+
+
+class Choice:
+    """One-versus-one machines over the heads of the rows' paths, and the choices below each head."""
+
+    def __init__(self, x: np.ndarray, paths: list[tuple[str, ...]]):
+        heads = [p[0] for p in paths]
+        if len(set(heads)) > FAN:
+            heads = _grouped(x, heads)
+            paths = [(h, *p) for h, p in zip(heads, paths)]
+        self.machines = OneVersusOne(x, heads)
+        of = np.array(heads)
+        self.below: dict[str, Choice | None] = {}
+        for h in self.machines.names:
+            own = np.flatnonzero(of == h)
+            rest = [paths[i][1:] for i in own]
+            self.below[h] = Choice(x[own], rest) if rest[0] else None
+
+
 class Hierarchy:
     """Families first, then the languages within the family."""
 
     def __init__(self, x: np.ndarray, langs: list[str]):
         self.empty = not langs
-        if self.empty:
-            return
-        families = [family_of(g) for g in langs]
-        self.top = OneVersusOne(x, families)
-        of = np.array(families)
-        self.within = {f: OneVersusOne(x[of == f], [g for g, k in zip(langs, families) if k == f]) for f in set(families)}
+        if not self.empty:
+            self.top = Choice(x, [(family_of(g), g) for g in langs])
 
     def predict(self, text: bytes | None) -> tuple[str, float]:
         if self.empty or not has_letter(text):
             return "und", 0.0
         x = features(text)
-        family, p = self.top.predict(x)
-        lang, q = self.within[family].predict(x)
-        return lang, min(1.0, max(0.0, p * q))
+        at, score, name = self.top, 1.0, ""
+        while at is not None:
+            name, p = at.machines.predict(x)
+            score *= p
+            at = at.below[name]
+        return name, min(1.0, max(0.0, score))
 
 
 def held_out(key: str = "doc_id") -> F.Column:
@@ -146,11 +186,12 @@ def train(docs: DataFrame) -> Hierarchy:
     """Fit on the bounded sample; only the sampled texts are read for their features."""
     ids = docs.where("doc_id is not null and lang is not null and text is not null").where(~held_out()).select("doc_id", "lang")
     # Counts are a row for each language; ids are then chosen by their hash alone, so no language meets in one task.
-    sizes = ids.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(LANGUAGES)
+    sizes = cut(ids.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    known = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
     share = F.shiftrightunsigned(F.xxhash64("doc_id", "lang"), 11) / float(1 << 53)
-    chosen = ids.join(F.broadcast(sizes), "lang").select("doc_id", "lang", (share * F.col("_n")).alias("_place")).where(F.col("_place") < PER_LANGUAGE)
-    sample = chosen.distinct().orderBy("_place", "lang", "doc_id").limit(SAMPLE).select("doc_id", "lang")
-    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"])  # SAMPLE rows at most
+    chosen = ids.join(known, "lang").select("doc_id", "lang", (share * F.col("n")).alias("place")).where(F.col("place") < PER_LANGUAGE)
+    sample = chosen.distinct().orderBy("place", "lang", "doc_id").limit(SAMPLE).select("doc_id", "lang")
+    rows = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("h")).join(F.broadcast(sample), ["doc_id", "lang"])  # SAMPLE ids at most
 
     def make() -> Callable:
         def one(text: bytes | None) -> tuple:
@@ -163,10 +204,10 @@ def train(docs: DataFrame) -> Hierarchy:
         return one
 
     fields = [("at", T.ArrayType(T.ShortType())), ("x", T.ArrayType(T.FloatType()))]
-    got = map_texts(rows, make, fields, keys=("doc_id", "lang")).where("at is not null").toArrow()
-    first: dict[tuple, int] = {}
-    for n, key in enumerate(zip(got["lang"].to_pylist(), got["doc_id"].to_pylist())):
-        first.setdefault(key, n)
+    seen = map_texts(rows, make, fields, keys=("doc_id", "lang", "h")).where("at is not null")
+    got = seen.groupBy("doc_id", "lang").agg(F.min_by(F.struct("at", "x"), "h").alias("v")).select("doc_id", "lang", "v.at", "v.x").toArrow()
+    discard(sizes)
+    first = {key: n for n, key in enumerate(zip(got["lang"].to_pylist(), got["doc_id"].to_pylist()))}
     order = sorted(first)
     x = np.zeros((len(order), WIDTH + 1), dtype=np.float32)
     x[:, -1] = 1.0  # for the bias
