@@ -1,20 +1,25 @@
 """Quality classifier by co-training (operator 7).
 
-Two views of a document: its text (shape statistics of the whole text) and its
-page metadata (source, language, stated length). A logistic regression on each
-view starts from the labelled rows; over ``ROUNDS`` rounds each names the
-unlabelled rows it is surest of, and these pseudo-labels join the other view's
-training rows. Each view is then calibrated on labelled rows kept out of its
-training, and a regression over the two calibrated log-odds weighs the views.
-All documents are scored.
-
-Training rows are a bounded sample: the ``LABELLED`` and ``UNLABELLED`` ids of
-least hash. Only ids are sorted; texts are read for the sample alone.
-
-Nulls: a null text is the empty text; null metadata is a value of its own.
-Ids labelled more than once take their mean (0.5 or more: good); null labels
-are ignored. Without labels of both kinds every document gets the share of
-good labels (1.0 without any) and is kept at 0.5 or more.
+Two views of a document: its text (hashed words and shape statistics of the
+whole text) and its page metadata (source, language, stated length). A logistic
+regression on each view starts from the labelled rows; over ``ROUNDS`` rounds
+each names the unlabelled rows it is surest of, and these pseudo-labels join
+the other view's training rows. Each view is then calibrated on labelled rows
+kept out of its training, and a regression over the two calibrated log-odds,
+fitted on rows kept out of both, weighs the views. All documents are scored.
+
+Training rows are a bounded sample of the documents: the ``labelled`` and
+``unlabelled`` ids of least hash (parameters, with ``LABELLED`` and
+``UNLABELLED`` as defaults). Only ids are sorted; texts are read for the sample
+alone, and an id that stands in many rows counts once, with the row whose
+content has the least hash.
+
+Nulls: a null text is the empty text; null metadata is a value of its own, and
+so is a length that is no number. Ids labelled more than once take their mean
+(0.5 or more: good); null labels are ignored. With fewer than ``LEAST_LABELS``
+labelled documents, or labels of one kind only, nothing can be fitted: every
+document gets the share of good labels (1.0 without any) and is kept at 0.5 or
+more.
 """
 
 from __future__ import annotations
@@ -27,10 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.rows import utf8
+from tessera.llm.rows import numbered, utf8
 
-#: Bounds of the training sample.
+#: Bounds of the training sample. The README gives the effect of the second.
 LABELLED, UNLABELLED = 8_000, 4_000
+LEAST_LABELS = 8
 ROUNDS = 4
 #: Share of the unlabelled rows that each view names for each class and round.
 SURE = 0.05
@@ -48,13 +54,17 @@ _KINDS = {
     "bar": b"|",
     "line": b"\n",
 }
-TEXT_WIDTH = len(_KINDS) + 6
+#: Columns of hashed words.
+_WORDS = 256
+TEXT_WIDTH = len(_KINDS) + 6 + _WORDS
 _SOURCES, _LANGS = 32, 16
 META_WIDTH = _SOURCES + _LANGS + 3
+#: Penalties of the views' columns: hashed words are many and weak beside the shape.
+RIDGES = (np.repeat([3.0, 100.0], [TEXT_WIDTH - _WORDS, _WORDS]), np.full(META_WIDTH, 1.0))
 
 
-def text_view(text: bytes | None) -> list[float]:
-    """Shape of the whole text; roots of shares, so that length does not matter by itself and small shares show."""
+def text_view(text: bytes | None) -> np.ndarray:
+    """Words and shape of the whole text; roots of shares, so that length does not matter by itself and small shares show."""
     text = text or b""
     n = max(1, len(text))
     shares = [((len(text) - len(text.translate(None, k))) / n) ** 0.5 for k in _KINDS.values()]
@@ -62,7 +72,7 @@ def text_view(text: bytes | None) -> list[float]:
     w = max(1, len(words))
     lines = [x for x in text.split(b"\n") if x]
     again = sum(map(eq, words, words[1:])) / w
-    return [
+    shape = [
         *shares,
         shares[0] / max(1e-9, shares[0] + shares[1]),
         again,
@@ -71,10 +81,14 @@ def text_view(text: bytes | None) -> list[float]:
         float(np.log1p(len(words))),
         len(set(words)) / w,
     ]
+    hashes = np.fromiter(map(zlib.crc32, text.lower().split()), dtype=np.uint32, count=len(words))
+    return np.concatenate([shape, np.sqrt(np.bincount(hashes & (_WORDS - 1), minlength=_WORDS) / w)])
 
 
-def meta_view(source: str | None, lang: str | None, n_chars: int | None) -> list[float]:
+def meta_view(source: str | None, lang: str | None, n_chars: float | None) -> list[float]:
     out = [0.0] * META_WIDTH
+    if n_chars is not None and not np.isfinite(n_chars):
+        n_chars = None
     out[zlib.crc32(f"s:{source}".encode()) % _SOURCES] = 1.0
     out[_SOURCES + zlib.crc32(f"l:{lang}".encode()) % _LANGS] = 1.0
     out[-3] = float(np.log1p(max(0, n_chars or 0)))
@@ -86,12 +100,11 @@ def meta_view(source: str | None, lang: str | None, n_chars: int | None) -> list
 class Logistic:
     """Ridge logistic regression on standardised columns, by Newton steps."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 0.1):
+    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float | np.ndarray = 0.1):
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
         z = self._z(x)
         self.w = np.zeros(z.shape[1])
-        penalty = np.full(z.shape[1], ridge)
-        penalty[-1] = 1e-6
+        penalty = np.append(np.broadcast_to(ridge, x.shape[1]), 1e-6)
         for _ in range(30):
             p = _sigmoid(z @ self.w)
             grad = z.T @ (p - y) + penalty * self.w
@@ -117,21 +130,22 @@ class CoTrained:
 
     def __init__(self, text, meta, y, more_text, more_meta, rounds: int = ROUNDS):
         self.share = float(y.mean()) if len(y) else 1.0
-        self.single = len(y) < 8 or len(set(y.tolist())) < 2
+        self.single = len(y) < LEAST_LABELS or len(set(y.tolist())) < 2
         if self.single:
             return
-        held = np.arange(len(y)) % 4 == 0
-        if len(set(y[held].tolist())) < 2 or len(set(y[~held].tolist())) < 2:
-            held = np.zeros(len(y), dtype=bool)
+        # Rows for the views, for their calibration, and for weighing them; where a part lacks a class, all rows serve all three.
+        part = np.arange(len(y)) % 4
+        learn, check, weigh = part >= 2, part == 0, part == 1
+        if any(len(set(y[p].tolist())) < 2 for p in (learn, check, weigh)):
+            learn = check = weigh = np.ones(len(y), dtype=bool)
         views = [text, meta]
         free = [more_text, more_meta]
-        train = [(v[~held], y[~held]) for v in views]
+        train = [(v[learn], y[learn]) for v in views]
         open_rows = np.arange(len(more_text))
-        check = held if held.any() else ~held
         # A view must be surer than the share of the class by itself makes it.
         good, bad = max(SURE_LEAST, (1 + self.share) / 2), max(SURE_LEAST, 1 - self.share / 2)
         for _ in range(rounds):
-            models = [Logistic(*t) for t in train]
+            models = [Logistic(*t, r) for t, r in zip(train, RIDGES)]
             if not len(open_rows):
                 break
             named: dict[int, float] = {}
@@ -147,11 +161,10 @@ class CoTrained:
                     train[1 - i] = np.vstack([x, free[1 - i][at]]), np.concatenate([t, [c for _, c in pick]])
                     named |= dict.fromkeys(at.tolist(), 1.0)
             open_rows = np.array([r for r in open_rows if r not in named], dtype=np.int64)
-        self.models = [Logistic(*t) for t in train]
-        scores = [m.logit(v[check])[:, None] for m, v in zip(self.models, views)]
-        self.calibrations = [Logistic(s, y[check]) for s in scores]
-        both = np.hstack([c.logit(s)[:, None] for c, s in zip(self.calibrations, scores)])
-        self.joint = Logistic(both, y[check])
+        self.models = [Logistic(*t, r) for t, r in zip(train, RIDGES)]
+        self.calibrations = [Logistic(m.logit(v[check])[:, None], y[check]) for m, v in zip(self.models, views)]
+        both = np.hstack([c.logit(m.logit(v[weigh])[:, None])[:, None] for c, m, v in zip(self.calibrations, self.models, views)])
+        self.joint = Logistic(both, y[weigh])
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probability of good by text, by metadata, and by both."""
@@ -173,22 +186,23 @@ def _least(ids: DataFrame, n: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
 
 
-def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
+def _inputs(docs: DataFrame) -> DataFrame:
+    """doc_id and what the views read."""
+    return docs.select("doc_id", "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").try_cast("double").alias("n_chars"))
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> CoTrained:
     """Fit on the bounded sample; the sampled rows' views come to the driver."""
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y"))
-    known = _least(marked, LABELLED)
-    ids = docs.where("doc_id is not null").select("doc_id").distinct()
-    unknown = _least(ids.join(marked, "doc_id", "left_anti"), UNLABELLED).withColumn("y", F.lit(None).cast("double"))
-    wanted = F.broadcast(known.unionByName(unknown))  # LABELLED + UNLABELLED rows at most
-    one = docs.select("doc_id", "text", "source", "lang", "n_chars").join(wanted, "doc_id")
-    # Views, not texts, come to the driver: 65 numbers a row.
-    view = _view_udf()
-    got = one.select("doc_id", "y", view("text", "source", "lang", "n_chars").alias("v")).toArrow()
-    first: dict = {}
-    for n, i in enumerate(got["doc_id"].to_pylist()):
-        first.setdefault(i, n)
-    order = [first[i] for i in sorted(first, key=lambda i: (zlib.crc32(str(i).encode()), i))]
-    x = got["v"].combine_chunks().flatten().to_numpy().reshape(-1, TEXT_WIDTH + META_WIDTH)[order]
+    ids = docs.where("doc_id is not null").select("doc_id").distinct().join(marked, "doc_id", "left")
+    wanted = F.broadcast(_least(ids.where("y is not null"), labelled).unionByName(_least(ids.where("y is null"), unlabelled)))
+    # Views, not texts, come to the driver: one of each id.
+    one = _inputs(docs).join(wanted, "doc_id")
+    seen = one.select("doc_id", "y", F.xxhash64("text", "source", "lang", "n_chars").alias("h"), _view_udf()("text", "source", "lang", "n_chars").alias("v"))
+    got = seen.groupBy("doc_id", "y").agg(F.min_by("v", "h").alias("v")).select("doc_id", "y", "v").toArrow()
+    ids = got["doc_id"].to_pylist()
+    order = sorted(range(len(ids)), key=lambda n: (zlib.crc32(str(ids[n]).encode()), ids[n]))
+    x = got["v"].combine_chunks().flatten().to_numpy().reshape(-1, TEXT_WIDTH + META_WIDTH)[order].astype(float)
     y = got["y"].to_numpy()[order]
     have = ~np.isnan(y)
     a, b = x[:, :TEXT_WIDTH], x[:, TEXT_WIDTH:]
@@ -200,9 +214,9 @@ def _lists(text, source, lang, n_chars):
 
 
 def _view_udf():
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf("array<float>")
     def view(text: pa.Array, source: pa.Array, lang: pa.Array, n_chars: pa.Array) -> pa.Array:
-        return pa.array(np.hstack(_views(*_lists(text, source, lang, n_chars))).tolist(), type=pa.list_(pa.float64()))
+        return pa.array(list(np.hstack(_views(*_lists(text, source, lang, n_chars))).astype(np.float32)), type=pa.list_(pa.float32()))
 
     return view
 
@@ -219,10 +233,13 @@ def _score_udf(model: CoTrained):
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, each view's score, the joint score, and whether the document is kept."""
     s = _score_udf(train(docs, labels))("text", "source", "lang", "n_chars")
-    return docs.select("doc_id", s.alias("s")).select("doc_id", "s.text_score", "s.meta_score", "s.score", (F.col("s.score") >= THRESHOLD).alias("kept"))
+    return _inputs(docs).select("doc_id", s.alias("s")).select("doc_id", "s.text_score", "s.meta_score", "s.score", (F.col("s.score") >= THRESHOLD).alias("kept"))
 
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject; the same columns, decided row by row."""
-    s = _score_udf(train(docs, labels))("text", "source", "lang", "n_chars")
-    return docs.withColumn("_quality", s).where(F.col("_quality.score") >= THRESHOLD).drop("_quality")
+    model = train(docs, labels)
+    plain, at = numbered(docs)
+    c = {n: F.col(at[n]) for n in ("text", "source", "lang", "n_chars")}
+    s = _score_udf(model)(c["text"], c["source"].cast("string"), c["lang"].cast("string"), c["n_chars"].try_cast("double"))
+    return plain.withColumn("s", s).where(F.col("s.score") >= THRESHOLD).drop("s").toDF(*docs.columns)
