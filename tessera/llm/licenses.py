@@ -11,10 +11,12 @@ template's first ``|T| - t + 1`` tokens (prefix filter), has at least ``t`` toke
 (length filter), and if enough tokens of the template are left behind the
 first shared one (positional filter). Survivors are verified by intersection,
 so exactly the blocks that meet the threshold are found. Windows are counted
-word by word in texts that hold ``t`` of the template's tokens.
+word by word for the templates whose prefix the text meets and of whose tokens
+it holds ``t``.
 
 Only template tokens can overlap, so only their frequencies are counted. The
-templates are a parameter of at most ``TEMPLATE_LIMIT`` entries; documents,
+templates are a parameter that the driver holds anyway; they are broadcast
+once, and a text is compared with those alone whose prefix it meets. Documents,
 which grow, are never shuffled.
 
 Nulls: a null text is empty: no words, no labels, null positions, score 0.
@@ -47,7 +49,6 @@ TEMPLATES = (
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
 )
 THRESHOLD = 0.8
-TEMPLATE_LIMIT = 10_000
 
 
 class TemplateIndex:
@@ -93,7 +94,8 @@ class TemplateIndex:
         Windows run over line ends. ``have``: the template tokens among ``words``.
         """
         out = []
-        for (label, own, need, size), length in zip(self.rows, self.lengths):
+        for row in sorted({row for w in have for row, _ in self.postings.get(w, ())}):
+            (label, own, need, size), length = self.rows[row], self.lengths[row]
             if len(own & have) < need:
                 continue
             hits = [(i, w) for i, w in enumerate(words) if w in own]
@@ -155,13 +157,11 @@ def frequencies(docs: DataFrame, templates=TEMPLATES) -> dict[bytes, int]:
 
 def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """Counts, places, base labels and all labels, and the highest containment, for every document."""
-    if len(templates) > TEMPLATE_LIMIT:
-        raise ValueError(f"at most {TEMPLATE_LIMIT} templates")
-    df = frequencies(docs, templates)
+    held = docs.sparkSession.sparkContext.broadcast((templates, frequencies(docs, templates)))
     heads = tuple(dict.fromkeys(p.encode().split()[-1] for p, _ in phrases))
 
     def make() -> Callable:
-        index = TemplateIndex(templates, df, threshold)
+        index = TemplateIndex(*held.value, threshold)
 
         def one(text: bytes | None) -> tuple:
             words = alnum_words(text)
