@@ -17,6 +17,9 @@ of more than ``BUCKET`` members is not gathered: its members go on to the next
 round under finer buckets, five for the bits that were free (four or fewer of
 them differ, so one fifth is equal). Every round frees fewer bits, and 12 free
 bits have no more than ``BUCKET`` values, so rounds end and no link is lost.
+Hot buckets are found before they are shuffled, by counts over ``SLOTS`` slots of
+the buckets' hashes: what lies in a slot of over ``BUCKET`` rows (and over four
+times the mean) is refined where it is; so no task reads a hot bucket.
 
 Nulls: a null text, or one without words, has fingerprint zero and is linked
 like any other. Rows with null id get a fingerprint and component, but no null
@@ -42,6 +45,7 @@ from tessera.session import cut, discard
 
 WORDS, SEED, RADIUS = 4, 42, 4
 BUCKET = 4096
+SLOTS = 1 << 20
 PIVOTS = 16
 _CHUNK = 1 << 16
 
@@ -224,19 +228,38 @@ def _bucket_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 _LINK = "a long, b long, mask long"
 
 
+def _refine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each fingerprint under the finer masks of its own."""
+    for batch in batches:
+        mask, fps = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "fp"))
+        for own in np.unique(mask):
+            here = fps[mask == own]
+            for m in _finer(int(own) & (1 << 64) - 1):
+                yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(np.full(len(here), _signed(m), dtype=np.int64))], names=["fp", "mask"])
+
+
 def links(distinct: DataFrame, n: int) -> list[DataFrame]:
     """Links (a, b) among ``n`` distinct fingerprints ``fp``, in one written table for each round."""
     masks = F.array(*[F.lit(_signed(m)) for m in _tables(n)])
-    rows = distinct.select("fp", F.explode(masks).alias("mask"))
+    rows, size = distinct.select("fp", F.explode(masks).alias("mask")), n * len(_tables(n))
     rounds = []
     while True:
-        keyed = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), "fp")
-        found = cut(keyed.repartition("mask", "bits").sortWithinPartitions("mask", "bits", "fp").mapInArrow(_bucket_links, _LINK), "links")
+        slot = F.pmod(F.xxhash64("mask", "bits"), F.lit(SLOTS))
+        # Buckets with 12 free bits or fewer cannot be large, so they are not refined.
+        open_slot = F.when(F.bit_count("mask") < 52, slot)
+        keyed = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), "fp").withColumn("slot", open_slot)
+        hot = cut(keyed.where("slot is not null").groupBy("slot").agg(F.count("*").alias("n")).where(F.col("n") > max(BUCKET, 4 * size // SLOTS)).select("slot"), "hot")
+        over = None if hot.isEmpty() else keyed.join(F.broadcast(hot), "slot", "left_semi")  # a quarter of SLOTS rows at most
+        cool = keyed if over is None else keyed.join(F.broadcast(hot), "slot", "left_anti")
+        found = cut(cool.select("mask", "bits", "fp").repartition("mask", "bits").sortWithinPartitions("mask", "bits", "fp").mapInArrow(_bucket_links, _LINK), "links")
         rounds.append(found)
-        heavy = found.where("mask is not null")
-        if not heavy.take(1):
+        left = found.where("mask is not null").select(F.col("a").alias("fp"), "mask")
+        if over is not None:
+            left = left.unionByName(over.mapInArrow(_refine, "fp long, mask long"))
+        rows = cut(left, "refined")
+        size = rows.count()
+        if not size:
             return rounds
-        rows = heavy.select(F.col("a").alias("fp"), "mask")
 
 
 def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
