@@ -186,3 +186,42 @@ def test_licenses(docs):
     assert rows(out, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == want
     labels = Counter((i, ",".join(sorted({x for x in brute.licenses(t)[4].split(",") if x} | brute.contained(t, licenses.TEMPLATES, licenses.THRESHOLD)))) for i, t in docs_of(docs))
     assert rows(out, "doc_id", "labels") == labels
+
+
+def test_large_list_is_dealt(spark, monkeypatch):
+    """A list beyond the broadcast limit: filter by block, exact join by key; the filter lets few others through."""
+    from pyspark.sql import functions as F
+
+    listed = spark.range(20_000).select(F.concat(F.lit("http://h"), (F.col("id") % 50).cast("string"), F.lit(".org/p/"), F.col("id").cast("string")).alias("url"))
+    pages = spark.range(3_000).select(F.col("id").alias("page_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("https://www.h"), (F.col("id") % 50).cast("string"), F.lit(".org/p/"), F.col("id").cast("string"), F.when(F.col("id") % 2 == 0, "/?q").otherwise(".html"))).alias("url"))
+    whole = urls.listing(spark, rules=(("allow", "h3.org", "/p/1"),), urls=listed)
+    wants = {}
+    for r in pages.collect():
+        i = r["page_id"]
+        by_rule = r["url"] and i % 50 == 3 and str(i).startswith("1")
+        wants[i] = "allow" if by_rule or not r["url"] or i % 2 else "block"
+    for limit in (urls.BROADCAST_BYTES, 1000):
+        monkeypatch.setattr(urls, "BROADCAST_BYTES", limit)
+        assert {r["page_id"]: r["verdict"] for r in urls.judge(pages, whole).collect()} == wants
+    keys = urls.candidates(pages.select(urls.host_of("url").alias("host"), urls.path_of("url").alias("path")).distinct(), whole, 3).select("key").distinct()
+    n = whole.count()
+    through, exact = urls.passed(keys, whole, n).count(), keys.join(whole, "key").count()
+    assert exact >= 1000 and 0 <= through - exact <= 0.01 * keys.count()
+
+
+def test_simhash_hot_slots(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    monkeypatch.setattr(simhash, "BUCKET", 100)
+    monkeypatch.setattr(simhash, "SLOTS", 1 << 14)
+    centres = [rng.getrandbits(64) for _ in range(3)]
+    pairs = []
+    for i in range(700):
+        f = centres[i % 3]
+        for b in rng.sample(range(64), rng.choice([0, 1, 2, 3])):
+            f ^= 1 << b
+        pairs.append((i, f))
+    prints = spark.createDataFrame([(i, simhash._signed(f)) for i, f in pairs], "doc_id long, fp long")
+    got = Counter((r["doc_id"], f"{r['fp'] & (2**64 - 1):016x}", r["component"]) for r in simhash.grouped_prints(prints).collect())
+    assert got == brute.grouped(pairs)
