@@ -257,11 +257,10 @@ def exact_block(spark, sf):
     return retrieve.exact(*sides(spark, sf), "entity_id", ["name", "address"])
 
 
-_MAX_DF = 0.2
 _TFIDF = """, n AS (SELECT count(*) AS n FROM c),
 tc AS (SELECT id, term, count(*) AS tf FROM (SELECT entity_id AS id, unnest(regexp_extract_all(lower({col}), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM c) GROUP BY ALL),
 tq AS (SELECT id, term, count(*) AS tf FROM (SELECT entity_id AS id, unnest(regexp_extract_all(lower({col}), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM q) GROUP BY ALL),
-v AS (SELECT term, ln((1 + n) / (1 + df)) + 1 AS idf FROM (SELECT term, count(*) AS df FROM tc GROUP BY 1), n WHERE df <= 0.2 * n),
+v AS (SELECT term, ln((1 + n) / (1 + df)) + 1 AS idf FROM (SELECT term, count(*) AS df FROM tc GROUP BY 1), n),
 xc AS (SELECT id, term, (1 + ln(tf)) * idf AS x FROM tc JOIN v USING (term)), xq AS (SELECT id, term, (1 + ln(tf)) * idf AS x FROM tq JOIN v USING (term)),
 wc AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM xc), wq AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM xq),
 s AS (SELECT wq.id AS source1_id, wc.id AS candidate_id, least(1.0, round(sum(wq.w * wc.w), 6)) AS score FROM wq JOIN wc USING (term) {by} GROUP BY 1, 2),
@@ -271,7 +270,7 @@ _PICK = "SELECT source1_id, candidate_id, score, rank FROM "
 
 
 def _tfidf(spark, sf, k=5, by=None, column="clean_text"):
-    return retrieve.tfidf(*sides(spark, sf), "entity_id", retrieve.words(F.col(column)), k, max_df=_MAX_DF, by=by)
+    return retrieve.tfidf(*sides(spark, sf), "entity_id", retrieve.words(F.col(column)), k, by=by, content=F.col(column))
 
 
 @query(_W + _TFIDF.format(col="clean_text", by="", k=5) + _PICK + "tfidf")
@@ -295,7 +294,7 @@ bq AS (SELECT id, term, count(*) AS tf FROM (SELECT entity_id AS id, unnest(stri
 bl AS (SELECT id, sum(tf) AS len FROM bc GROUP BY 1),
 bd AS (SELECT term, count(*) AS df, n, avg_len FROM bc, bn GROUP BY term, n, avg_len),
 br AS (SELECT *, ln(n - df + 0.5) - ln(df + 0.5) AS raw FROM bd), bm AS (SELECT avg(raw) AS m FROM br),
-bi AS (SELECT term, avg_len, CASE WHEN raw < 0 THEN 0.25 * m ELSE raw END AS idf FROM br, bm WHERE df <= 0.2 * n),
+bi AS (SELECT term, avg_len, CASE WHEN raw < 0 THEN 0.25 * m ELSE raw END AS idf FROM br, bm),
 bp AS (SELECT bc.id, term, idf * tf * 2.5 / (tf + 1.5 * (1 - 0.75 + 0.75 * len / avg_len)) AS w FROM bc JOIN bi USING (term) JOIN bl ON bl.id = bc.id),
 bs AS (SELECT bq.id AS source1_id, bp.id AS candidate_id, round(sum(bq.tf * bp.w), 6) AS score FROM bq JOIN bp USING (term) GROUP BY 1, 2),
 bm25 AS (SELECT *, CAST(row_number() OVER (PARTITION BY source1_id ORDER BY score DESC, candidate_id) AS INTEGER) AS rank FROM bs WHERE score > 0 QUALIFY rank <= 5)
@@ -303,7 +302,7 @@ bm25 AS (SELECT *, CAST(row_number() OVER (PARTITION BY source1_id ORDER BY scor
 
 
 def _bm25(spark, sf, k=5):
-    return retrieve.bm25(*sides(spark, sf), "entity_id", "clean_text", k, max_df=_MAX_DF)
+    return retrieve.bm25(*sides(spark, sf), "entity_id", "clean_text", k)
 
 
 @query(_W + _BM25 + _PICK + "bm25")
@@ -351,20 +350,14 @@ def ivf_topk(spark, sf):
 
 @query()
 def multiview_topk(spark, sf):
-    """Character views over short names; the whole text by words."""
-    views = {
-        "name": ("name", lambda c: retrieve.char_ngrams_in_words(c, 3, 4), 150_000),
-        "address": ("address", retrieve.words, 100_000),
-        "pairs": ("name", lambda c: retrieve.word_ngrams(c, 1, 2), 100_000),
-    }
-    return retrieve.multiview(*sides(spark, sf), "entity_id", 5, views, _MAX_DF)
+    """The three views: name and whole text by characters, address by words."""
+    return retrieve.multiview(*sides(spark, sf), "entity_id", 5)
 
 
 @query()
 def countsketch_topk(spark, sf):
     p = t(spark, sf, "part").select(F.concat(F.lit("P"), "p_partkey").alias("entity_id"), F.col("p_name").alias("name"), F.concat_ws(" ", "p_brand", "p_type").alias("address"))
-    names = p.groupBy("name", "address").agg(F.min("entity_id").alias("entity_id"))
-    return retrieve.countsketch_topk(names, names, "entity_id", "name", "address", dim=256)
+    return retrieve.countsketch_topk(p, p, "entity_id", "name", "address")
 
 
 # Fusion

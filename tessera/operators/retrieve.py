@@ -1,25 +1,25 @@
 """Retrieval of candidate pairs: one long table (source1_id, candidate_id, score, rank) per channel.
 
-Similarity joins go through an inverted index: postings of queries and corpus
-meet on the term, so no pair without a common term is ever made. Terms in more
-than ``max_df`` of the corpus are left out before the join (their postings
-would be the quadratic part). Every top-k has a total order: rounded score,
-then the candidate's id.
+Similarity searches are exact: every term counts, however frequent. Rows of
+equal content are searched once, for the whole group, and the groups' members
+join the result at the end. Weight vectors are written once and meet in tiles
+of bounded size (``blocks``), which deal rows by id, so a frequent term is no
+hot key and no pair beyond the k best of a tile is ever made. ``max_df`` and
+``max_features`` narrow a vocabulary where a caller asks for it. Every top-k has
+a total order: rounded score, then the candidate's id. Ids are unique on each side.
 """
 
 from __future__ import annotations
 
-from functools import partial, reduce
+from functools import partial
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import blocks
+from tessera.operators.blocks import ROUND
 from tessera.session import cut
 
-ROUND = 6
-
 
 def top_k(pairs: DataFrame, k: int, score: str = "score", query: str = "source1_id", candidate: str = "candidate_id") -> DataFrame:
     """Spark keeps k rows for each query before the shuffle (a window group limit)."""
@@ -50,8 +50,8 @@ def _runs(w: Column, n: int) -> Column:
 
 
 def _char_runs(text: Column, n: int) -> Column:
-    some = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))
-    return F.when(F.length(text) >= n, some).otherwise(F.array().cast("array<string>"))
+    """All runs of n characters, in one pass: a run is looked ahead at each character (``substring`` would walk to it from the start)."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), 1)
 
 
 def char_ngrams(text: Column, low: int, high: int) -> Column:
@@ -72,17 +72,51 @@ def _char_runs_of(n: int, text: Column) -> Column:
     return _char_runs(text, n)
 
 
+# Groups of equal content
+
+
+def grouped(queries: DataFrame, corpus: DataFrame, ident: str, content: Column, by: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """One row of each group of equal content (and ``by``) on each side, and the members.
+
+    The first table has side (0: query, 1: corpus), id (the group's least),
+    copies and the columns that both sides have; the second side, id and rep.
+    """
+    shared = [c for c in queries.columns if c in corpus.columns and c != ident]
+    side = lambda df, n: df.select(F.lit(n).alias("side"), F.col(ident).alias("id"), *shared)
+    both = side(queries, 0).unionByName(side(corpus, 1))
+    if by:
+        both = both.where(F.coalesce(F.col(by), F.lit("")) != "")
+        content = F.concat_ws("\x01", by, content)
+    keyed = both.select("side", "id", F.md5(F.coalesce(content, F.lit(""))).alias("key"))
+    groups = cut(keyed.groupBy("side", "key").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "groups")
+    ones = both.join(groups.select("side", F.col("rep").alias("id"), "copies"), ["side", "id"])
+    return ones, keyed.join(groups, ["side", "key"]).select("side", "id", "rep")
+
+
+def ungrouped(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """The top-k of all rows from that of the groups: a corpus group gives its k least ids, a query group each of its members."""
+    order = Window.partitionBy("rep").orderBy("id")
+    first = members.where("side = 1").withColumn("n", F.row_number().over(order)).where(F.col("n") <= k)
+    named = found.join(first.select(F.col("rep").alias("candidate_id"), F.col("id").alias("member")), "candidate_id").select("source1_id", F.col("member").alias("candidate_id"), "score")
+    asked = members.where("side = 0").select(F.col("rep").alias("source1_id"), "id")
+    return top_k(named, k).join(asked, "source1_id").select(F.col("id").alias("source1_id"), "candidate_id", "score", "rank")
+
+
+def _content(terms: Column) -> Column:
+    return F.concat_ws("\x01", terms)
+
+
 # TF-IDF
 
 
-def term_counts(df: DataFrame, ident: str, terms: Column) -> DataFrame:
-    """(id, term, tf)"""
-    return df.select(F.col(ident).alias("id"), F.explode(terms).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
+def term_counts(ones: DataFrame, terms: Column, *more: str) -> DataFrame:
+    """(side, id, copies, term, tf)"""
+    return ones.select("side", "id", "copies", *more, F.explode(terms).alias("term")).groupBy("side", "id", "copies", *more, "term").agg(F.count("*").alias("tf"))
 
 
 def vocabulary(counts: DataFrame, n_docs: Column, max_features: int | None = None, max_df: float | None = None) -> DataFrame:
-    """(term, df, idf) with idf = ln((1 + n) / (1 + df)) + 1, fitted on the corpus."""
-    v = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+    """(term, df, idf) with idf = ln((1 + n) / (1 + df)) + 1, fitted on the corpus; a group counts as often as it has copies."""
+    v = counts.where("side = 1").groupBy("term").agg(F.sum("copies").alias("df"), F.sum(F.col("tf") * F.col("copies")).alias("total"))
     if max_df is not None:
         v = v.where(F.col("df") <= max_df * n_docs)
     if max_features is not None:
@@ -90,35 +124,43 @@ def vocabulary(counts: DataFrame, n_docs: Column, max_features: int | None = Non
     return v.select("term", "df", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def weights(counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(id, term, w): sublinear tf times idf, each document of length one."""
-    raw = counts.join(vocab, "term").select("id", "term", ((1 + F.log("tf")) * F.col("idf")).alias("x"))
-    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("id")))  # one shuffle, no second pass over the texts
-    return raw.select("id", "term", (F.col("x") / norm).alias("w"))
+def vectors(weighed: DataFrame, *more: str, unit: bool = True, label: str = "vectors") -> DataFrame:
+    """(side, id, t, w) from rows with term and x, written; of length one if asked for. Terms stand as 64-bit hashes."""
+    # The norm is aggregated beside the list: computed from the list, Catalyst would move it into the loop over the list.
+    held = weighed.groupBy("side", "id", *more).agg(F.collect_list(F.struct(F.xxhash64("term").alias("t"), "x")).alias("p"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    w = F.transform("p", lambda s: s["x"] / F.col("norm") if unit else s["x"])
+    return cut(held.select("side", "id", *more, F.col("p.t").alias("t"), w.alias("w")), label)
+
 
+def tfidf_weights(ones: DataFrame, n: Column, terms: Column, max_features: int | None = None, max_df: float | None = None, more: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (side, id, copies, term, x): sublinear tf times idf."""
+    counts = term_counts(ones, terms, *more)
+    return counts.join(vocabulary(counts, n, max_features, max_df), "term").withColumn("x", (1 + F.log("tf")) * F.col("idf"))
 
-def similarity_join(queries: DataFrame, corpus: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """(source1_id, candidate_id, score): inner products of two weight tables over common terms (and ``by``)."""
-    q = queries.select(F.col("id").alias("source1_id"), "term", *by, F.col("w").alias("wq"))
-    c = corpus.select(F.col("id").alias("candidate_id"), "term", *by, F.col("w").alias("wc"))
-    return (
-        q.join(c, ["term", *by])
-        .groupBy("source1_id", "candidate_id")
-        .agg(F.least(F.lit(1.0), F.round(F.sum(F.col("wq") * F.col("wc")), ROUND)).alias("score"))
-        .where("score > 0")
-    )
 
+def tfidf(queries: DataFrame, corpus: DataFrame, ident: str, terms: Column, k: int, max_features: int | None = None, max_df: float | None = None, by: str | None = None, content: Column | None = None) -> DataFrame:
+    """Top-k by TF-IDF cosine. ``by``: a column that must be equal and non-empty on both sides.
 
-def tfidf(queries: DataFrame, corpus: DataFrame, ident: str, terms: Column, k: int, max_features: int | None = None, max_df: float | None = None, by: str | None = None) -> DataFrame:
-    """Top-k by TF-IDF cosine. ``by``: a column that must be equal and non-empty on both sides."""
+    ``content``: what ``terms`` is made of, if it is cheaper to compare than the terms.
+    """
     n = F.lit(corpus.count())
-    counts = term_counts(corpus, ident, terms)
+    same = _content(terms) if content is None else content
+    ones, members = grouped(queries, corpus, ident, same, by)
+    fit = ones
+    if by:  # the vocabulary is that of the whole corpus
+        fit, _ = grouped(queries, corpus, ident, same)
+    counts = term_counts(fit, terms)
     vocab = vocabulary(counts, n, max_features, max_df)
-    wq, wc = weights(term_counts(queries, ident, terms), vocab), weights(counts, vocab)
-    if by:
-        side = lambda df: df.where(F.coalesce(F.col(by), F.lit("")) != "").select(F.col(ident).alias("id"), F.col(by).alias("_by")).distinct()
-        wq, wc = wq.join(side(queries), "id"), wc.join(side(corpus), "id")
-    return top_k(similarity_join(wq, wc, ("_by",) if by else ()), k)
+    more = (F.col(by).alias("by"),) if by else ()
+    own = ones.select("*", *more)
+    raw = term_counts(own, terms, *(["by"] if by else [])).join(vocab, "term").withColumn("x", (1 + F.log("tf")) * F.col("idf"))
+    found = blocks.top_terms(vectors(raw, *(["by"] if by else [])), k, by is not None)
+    return ungrouped(_rounded(found), members, k)
+
+
+def _rounded(found: DataFrame, most: float | None = 1.0) -> DataFrame:
+    score = F.round("score", ROUND)
+    return found.withColumn("score", F.least(F.lit(most), score) if most else score).where("score > 0")
 
 
 #: View name: column, terms, most features.
@@ -134,7 +176,7 @@ def multiview(queries: DataFrame, corpus: DataFrame, ident: str, k: int, views=N
     views = views or VIEWS
     parts = []
     for name, (column, terms, most) in views.items():
-        found = tfidf(queries, corpus, ident, terms(F.col(column)), k, most, max_df)
+        found = tfidf(queries, corpus, ident, terms(F.col(column)), k, most, max_df, content=F.col(column))
         parts.append(found.select("source1_id", "candidate_id", F.lit(name).alias("view"), "score"))
     every = parts[0]
     for p in parts[1:]:
@@ -149,42 +191,39 @@ def multiview(queries: DataFrame, corpus: DataFrame, ident: str, k: int, views=N
 
 def bm25(queries: DataFrame, corpus: DataFrame, ident: str, text: str, k: int, k1: float = 1.5, b: float = 0.75, max_df: float | None = None) -> DataFrame:
     """Top-k by Okapi BM25 over whitespace tokens; query repeats count; negative idf becomes a quarter of the mean idf."""
-    counts = term_counts(corpus, ident, space_tokens(F.col(text)))
-    lengths = corpus.select(F.col(ident).alias("id"), F.size(space_tokens(F.col(text))).alias("len"))
-    stats = lengths.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"))
-    terms = counts.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(stats), how="cross")
+    tokens = space_tokens(F.col(text))
+    ones, members = grouped(queries, corpus, ident, F.col(text))
+    counts = term_counts(ones.withColumn("len", F.size(tokens)), tokens, "len")
+    stats = corpus.agg(F.count("*").alias("n"), F.avg(F.size(tokens)).alias("avg_len"))
+    terms = counts.where("side = 1").groupBy("term").agg(F.sum("copies").alias("df")).join(F.broadcast(stats), how="cross")  # one row
     raw = terms.withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     mean = raw.agg(F.avg("raw").alias("mean_idf"))
     idf = raw.join(F.broadcast(mean), how="cross").select("term", "df", "n", "avg_len", F.when(F.col("raw") < 0, 0.25 * F.col("mean_idf")).otherwise(F.col("raw")).alias("idf"))
     if max_df is not None:
         idf = idf.where(F.col("df") <= max_df * F.col("n"))
     saturation = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
-    postings = counts.join(idf, "term").join(lengths, "id").select(F.col("id").alias("candidate_id"), "term", (F.col("idf") * saturation).alias("wc"))
-    asked = term_counts(queries, ident, space_tokens(F.col(text))).select(F.col("id").alias("source1_id"), "term", F.col("tf").alias("wq"))
-    scored = asked.join(postings, "term").groupBy("source1_id", "candidate_id").agg(F.round(F.sum(F.col("wq") * F.col("wc")), ROUND).alias("score"))
-    return top_k(scored.where("score > 0"), k)
+    x = F.when(F.col("side") == 0, F.col("tf").cast("double")).otherwise(F.col("idf") * saturation)
+    weighed = counts.join(idf, "term").withColumn("x", x)
+    return ungrouped(_rounded(blocks.top_terms(vectors(weighed, unit=False), k), None), members, k)
 
 
 def saturated_tfidf(queries: DataFrame, corpus: DataFrame, ident: str, text: str, k: int = 10, least: float = 0.25, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """Top-k by TF-IDF weights of character runs, saturated as in BM25; source rows without a match get ``NO_MATCH``.
 
     The corpus weight of a term takes the place of its count, and the sum of a
-    row's weights the place of its length.
+    row's weights the place of its length; their mean is over all rows.
     """
-    terms = char_ngrams_in_words(F.col(text), 2, 4)
-    n = F.lit(corpus.count())
-    counts = term_counts(corpus, ident, terms)
-    vocab = vocabulary(counts, n)
-    wc, wq = weights(counts, vocab), weights(term_counts(queries, ident, terms), vocab)
-    size = wc.groupBy("id").agg(F.sum("w").alias("size"))
-    mean = size.agg(F.avg("size").alias("mean_size"))
-    full = wc.join(size, "id").join(F.broadcast(mean), how="cross")  # one row
-    saturated = full.select("id", "term", (F.col("w") * (k1 + 1) / (F.col("w") + k1 * (1 - b + b * F.col("size") / F.col("mean_size")))).alias("w"))
-    q = wq.select(F.col("id").alias("source1_id"), "term", F.col("w").alias("wq"))
-    scored = q.join(saturated.select(F.col("id").alias("candidate_id"), "term", F.col("w").alias("wc")), "term").groupBy("source1_id", "candidate_id").agg(F.round(F.sum(F.col("wq") * F.col("wc")), ROUND).alias("score"))
-    found = top_k(scored.where(F.col("score") >= least), k)
+    ones, members = grouped(queries, corpus, ident, F.col(text))
+    raw = tfidf_weights(ones, F.lit(corpus.count()), char_ngrams_in_words(F.col(text), 2, 4))
+    plain = vectors(raw, "copies")
+    size = F.aggregate("w", F.lit(0.0), lambda a, x: a + x)
+    mean = plain.where("side = 1").agg((F.sum(size * F.col("copies")) / F.sum("copies")).alias("mean_size"))
+    full = plain.withColumn("size", size).join(F.broadcast(mean), how="cross")  # one row
+    saturated = F.transform("w", lambda x: x * (k1 + 1) / (x + k1 * (1 - b + b * F.col("size") / F.col("mean_size"))))
+    found = blocks.top_terms(cut(full.select("side", "id", "t", F.when(F.col("side") == 0, F.col("w")).otherwise(saturated).alias("w")), "saturated"), k)
+    best = ungrouped(_rounded(found, None).where(F.col("score") >= least), members, k)
     every = queries.select(F.col(ident).alias("source1_id"))
-    return every.join(found, "source1_id", "left").select("source1_id", F.coalesce("candidate_id", F.lit("NO_MATCH")).alias("candidate_id"), F.coalesce("score", F.lit(0.0)).alias("score"), "rank")
+    return every.join(best, "source1_id", "left").select("source1_id", F.coalesce("candidate_id", F.lit("NO_MATCH")).alias("candidate_id"), F.coalesce("score", F.lit(0.0)).alias("score"), "rank")
 
 
 # Keys
@@ -268,47 +307,9 @@ def unit(df: DataFrame, ident: str, vector: str) -> DataFrame:
     return df.select(F.col(ident).alias("id"), F.transform(v, lambda x: x / norm).alias("v"))
 
 
-def vector_topk(queries: DataFrame, corpus: DataFrame, ident: str, vector: str, k: int, block: int = 2048) -> DataFrame:
-    """Exact top-k by cosine, a row's own id left out.
-
-    The query set goes out in blocks of about ``block`` rows, each a broadcast
-    of bounded size; a task multiplies its Arrow batches with the block and
-    keeps k rows for each query, which one window then merges.
-    """
-    n = queries.count()
-    blocks = max(1, -(-n // block))
-    c, q = unit(corpus, ident, vector), unit(queries, ident, vector)
-    kind = c.schema["id"].dataType.simpleString()
-    schema = f"source1_id {q.schema['id'].dataType.simpleString()}, candidate_id {kind}, score double"
-    part = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    found = []
-    for i in range(blocks):
-        rows = q.where(part == i).orderBy("id").collect()  # about ``block`` rows
-        held = corpus.sparkSession.sparkContext.broadcast(([r["id"] for r in rows], np.array([r["v"] for r in rows], dtype=float)))
-        found.append(c.mapInArrow(partial(_best_products, held, k), schema))
-    return top_k(reduce(DataFrame.unionByName, found), k)
-
-
-def _best_products(held, k: int, batches):
-    names, asked = held.value
-    best: list[list[tuple[float, object]]] = [[] for _ in names]
-    for batch in batches:
-        ids = batch.column("id").to_pylist()
-        if not ids or not names:
-            continue
-        v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-        for at in range(0, len(ids), 4096):
-            scores = np.round(v[at : at + 4096] @ asked.T, ROUND)
-            for j, own in enumerate(names):
-                s = scores[:, j]
-                floor = best[j][-1][0] if len(best[j]) == k else -np.inf
-                if len(s) > k + 1:  # one more, as the row's own id may be among them
-                    floor = max(floor, -np.partition(-s, k)[k])
-                near = [(float(s[x]), ids[at + x]) for x in np.flatnonzero(s >= floor)]
-                best[j] = sorted(best[j] + [p for p in near if p[1] != own], key=lambda p: (-p[0], p[1]))[:k]
-    out = [{"source1_id": own, "candidate_id": c, "score": s} for own, mine in zip(names, best) for s, c in mine]
-    if out:
-        yield pa.RecordBatch.from_pylist(out)
+def vector_topk(queries: DataFrame, corpus: DataFrame, ident: str, vector: str, k: int) -> DataFrame:
+    """Exact top-k by cosine, a row's own id left out; products of blocks, dealt in tiles."""
+    return top_k(blocks.top_dense(unit(queries, ident, vector), unit(corpus, ident, vector), k), k)
 
 
 def ivf_topk(queries: DataFrame, corpus: DataFrame, ident: str, vector: str, k: int, cells: int = 16, probe: int = 4, seed: int = 42) -> DataFrame:
@@ -329,29 +330,26 @@ def ivf_topk(queries: DataFrame, corpus: DataFrame, ident: str, vector: str, k:
     return top_k(pairs, k)
 
 
-def count_sketch(weights_: DataFrame, dim: int = 1024, seed: int = 42) -> DataFrame:
-    """(id, bucket, x): signed hashing of a weight table into ``dim`` buckets."""
+def count_sketch(weighed: DataFrame, dim: int = 1024, seed: int = 42) -> DataFrame:
+    """(side, id, term, x): signed hashing of weights (side, id, term, w) into ``dim`` buckets."""
     bucket = F.pmod(F.xxhash64("term", F.lit(seed)), F.lit(dim)).cast("int")
     sign = F.when(F.pmod(F.xxhash64("term", F.lit(seed + 1)), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-    return weights_.groupBy("id", bucket.alias("bucket")).agg(F.sum(sign * F.col("w")).alias("x"))
+    return weighed.groupBy("side", "id", bucket.alias("term")).agg(F.sum(sign * F.col("w")).alias("x"))
 
 
 def countsketch_topk(queries: DataFrame, corpus: DataFrame, ident: str, name: str, address: str, w: float = 0.6, coarse: int = 40, k: int = 10, dim: int = 1024) -> DataFrame:
     """Approximate top ``coarse`` on sketches of both views, then exact scores ``w cosN + (1 - w) cosA`` and the top k."""
-    views = {}
     n = corpus.count()
-    for label, column, terms in (("n", name, lambda c: _char_runs(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"(?U)\s+", ""), 3)), ("a", address, lambda c: space_tokens(F.lower(c)))):
-        counts = term_counts(corpus, ident, terms(F.col(column)))
-        vocab = vocabulary(counts, F.lit(n), max_df=0.2 if n >= 20 else None)
-        views[label] = (weights(term_counts(queries, ident, terms(F.col(column))), vocab), weights(counts, vocab))
-    tag = lambda df, label, part: df.select("id", F.concat(F.lit(label), "term").alias("term"), (F.col("w") * part**0.5).alias("w"))
-    both = [tag(views["n"][i], "n:", w).unionByName(tag(views["a"][i], "a:", 1 - w)) for i in (0, 1)]
-    sketched = [count_sketch(b, dim).select("id", F.col("bucket").alias("term"), F.col("x").alias("w")) for b in both]
-    rough = top_k(similarity_join(sketched[0], sketched[1]), coarse).select("source1_id", "candidate_id")
-    sims = []
-    for label, part in (("n", w), ("a", 1 - w)):
-        q = views[label][0].select(F.col("id").alias("source1_id"), "term", F.col("w").alias("wq"))
-        c = views[label][1].select(F.col("id").alias("candidate_id"), "term", F.col("w").alias("wc"))
-        sims.append(rough.join(q, "source1_id").join(c, ["candidate_id", "term"]).select("source1_id", "candidate_id", (part * F.col("wq") * F.col("wc")).alias("x")))
-    exact_ = sims[0].unionByName(sims[1]).groupBy("source1_id", "candidate_id").agg(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(F.sum("x"), ROUND))).alias("score"))
-    return top_k(exact_, k)
+    ones, members = grouped(queries, corpus, ident, F.concat_ws("\x01", F.coalesce(F.col(name), F.lit("")), F.coalesce(F.col(address), F.lit(""))))
+    runs = _char_runs(F.regexp_replace(F.lower(F.coalesce(F.col(name), F.lit(""))), r"(?U)\s+", ""), 3)
+    both = []
+    for label, terms, part in (("n:", runs, w), ("a:", space_tokens(F.lower(F.col(address))), 1 - w)):
+        v = vectors(tfidf_weights(ones, F.lit(n), terms, max_df=0.2 if n >= 20 else None))
+        both.append(v.select("side", "id", F.explode(F.arrays_zip("t", "w")).alias("p")).select("side", "id", F.concat(F.lit(label), F.col("p.t").cast("string")).alias("term"), (F.col("p.w") * part**0.5).alias("w")))
+    weighed = both[0].unionByName(both[1])
+    rough = top_k(_rounded(blocks.top_terms(vectors(count_sketch(weighed, dim), unit=False, label="sketches"), coarse)), coarse).select("source1_id", "candidate_id")
+    q = weighed.where("side = 0").select(F.col("id").alias("source1_id"), "term", F.col("w").alias("wq"))
+    c = weighed.where("side = 1").select(F.col("id").alias("candidate_id"), "term", F.col("w").alias("wc"))
+    exact_ = rough.join(q, "source1_id").join(c, ["candidate_id", "term"]).groupBy("source1_id", "candidate_id")
+    scored = exact_.agg(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(F.sum(F.col("wq") * F.col("wc")), ROUND))).alias("score"))
+    return ungrouped(scored, members, k)

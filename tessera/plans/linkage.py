@@ -49,9 +49,9 @@ def contract(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("entity_id", F.trim(F.concat_ws(" ", name, address)).alias("clean_text"), name.alias("name"), address.alias("address"), F.col("country_normalized").alias("country"))
 
 
-def candidates(source1: DataFrame, corpus: DataFrame, k: int = 20, with_bm25: bool = True, max_df: float | None = None) -> DataFrame:
+def candidates(source1: DataFrame, corpus: DataFrame, k: int = 20, with_bm25: bool = True) -> DataFrame:
     """All channels fused: exact keys, three TF-IDF views, BM25, rare tokens, sorted neighbourhood."""
-    views = retrieve.multiview(source1, corpus, "entity_id", k, max_df=max_df)
+    views = retrieve.multiview(source1, corpus, "entity_id", k)
     channels = {
         "exact": retrieve.exact(source1, corpus, "entity_id", ["name", "address"]),
         "tfidf": fuse.ranked(views, "score").select("source1_id", "candidate_id", "score", "rank"),
@@ -59,7 +59,7 @@ def candidates(source1: DataFrame, corpus: DataFrame, k: int = 20, with_bm25: bo
         "neighbour": retrieve.sorted_neighbourhood(source1, corpus, "entity_id", "name", k=k),
     }
     if with_bm25:
-        channels["bm25"] = retrieve.bm25(source1, corpus, "entity_id", "clean_text", k, max_df=max_df)
+        channels["bm25"] = retrieve.bm25(source1, corpus, "entity_id", "clean_text", k)
     return fuse.fuse(channels)
 
 
