@@ -143,13 +143,22 @@ def landmark(spark, sf):
 
 @query()
 def normalized_names(spark, sf):
-    e = entities(spark, sf)
-    return e.select("entity_id", text.normalize_name(F.col("name")).alias("name"), text.canonical_name(text.normalize_name(F.col("name"))).alias("canonical"), text.normalize_address(F.col("address")).alias("address"))
+    e = text.with_address(text.with_name(entities(spark, sf), F.col("name"), "clean_name"), F.col("address"), "clean_address")
+    return e.select("entity_id", F.col("clean_name").alias("name"), text.canonical_name(F.col("clean_name")).alias("canonical"), F.col("clean_address").alias("address"))
 
 
-@query()
+_LETTERS = ("kgjtdnpbmyrlvsh", "कगजतदनपबमयरलवसह")
+_SIGNS = ("aiueo", "ािुेो")
+
+
+@query(f"""WITH w AS (SELECT p_partkey, regexp_replace(lower(p_name), '[^{_LETTERS[0]}{_SIGNS[0]} ]', '', 'g') AS x FROM part),
+a AS (SELECT p_partkey, regexp_replace(replace(x, 'a', 'A'), '([{_LETTERS[0]}])', '\\1a', 'g') AS x FROM w),
+b AS (SELECT p_partkey, replace(replace(replace(replace(replace(replace(x, 'aA', 'aa'), 'ai', 'i'), 'au', 'u'), 'ae', 'e'), 'ao', 'o'), 'A', 'aa') AS x FROM a)
+SELECT p_partkey, regexp_replace(x, 'aa+', 'aa', 'g') AS latin FROM b""")
 def transliterated(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", translit.transliterate(F.col("text")).alias("latin"))
+    """Part names written letter by letter in Devanagari, and read again."""
+    kept = F.regexp_replace(F.lower("p_name"), f"[^{_LETTERS[0]}{_SIGNS[0]} ]", "")
+    return t(spark, sf, "part").select("p_partkey", translit.transliterate(F.translate(kept, _LETTERS[0] + _SIGNS[0], _LETTERS[1] + _SIGNS[1])).alias("latin"))
 
 
 @query(_W + "SELECT entity_id, replace(name, ' ', '') AS key, lower(trim(country)) AS country FROM e")
@@ -240,11 +249,13 @@ def implode_ids(spark, sf):
     return reshape.implode_ids(t(spark, sf, "orders"), "o_custkey", "o_orderkey")
 
 
-@query("""SELECT count(*) AS source_rows, count(*) FILTER (WHERE n = 0) AS zero_match, round(avg(n), 6) AS mean_matches, max(n) AS max_matches FROM
-(SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1)""")
+@query("""SELECT count(*) AS source_rows, count(*) FILTER (WHERE n = 0) AS zero_match, round(avg(n), 6) AS mean_matches, max(n) AS max_matches,
+  CAST(sum(s2) AS BIGINT) AS s2_references, CAST(sum(s3) AS BIGINT) AS s3_references FROM
+(SELECT c_custkey, count(o_orderkey) AS n, count(o_orderkey) FILTER (WHERE o_orderkey % 2 = 0) AS s2, count(o_orderkey) FILTER (WHERE o_orderkey % 2 = 1) AS s3 FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1)""")
 def truth_statistics(spark, sf):
-    n = t(spark, sf, "customer").join(t(spark, sf, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left").groupBy("c_custkey").agg(F.count("o_orderkey").alias("n"))
-    return n.agg(F.count("*").alias("source_rows"), F.count(F.when(F.col("n") == 0, 1)).alias("zero_match"), F.round(F.avg("n"), 6).alias("mean_matches"), F.max("n").alias("max_matches"))
+    """Customers' orders as their matches; even order numbers stand for one source, odd ones for the other."""
+    truth = t(spark, sf, "orders").select(F.col("o_custkey").alias("source1_id"), F.concat(F.lit("S"), (F.col("o_orderkey") % 2 + 2).cast("string"), F.lit("-"), F.col("o_orderkey").cast("string")).alias("matched_id"))
+    return profile.truth_statistics(t(spark, sf, "customer").select(F.col("c_custkey").alias("source1_id")), truth)
 
 
 # Retrieval
@@ -348,12 +359,44 @@ def ivf_topk(spark, sf):
     return retrieve.ivf_topk(v, v, "vec_id", "embedding", 5, probe=_PROBE)
 
 
-@query()
+def _grams(text: str, low: int, high: int) -> str:
+    """SQL for all character runs of the lengths from ``low`` to ``high``."""
+    return "list_concat(" + ", ".join(f"list_transform(range(1, greatest(length({text}) - {n - 2}, 1)), lambda i: substr({text}, i, {n}))" for n in range(low, high + 1)) + ")"
+
+
+def _grams_in_words(text: str, low: int, high: int) -> str:
+    return f"flatten(list_transform(list_filter(string_split({text}, ' '), lambda t: t <> ''), lambda t: {_grams("' ' || t || ' '", low, high)}))"
+
+
+def _view(name: str, terms: str, most: int) -> str:
+    """SQL tables of one TF-IDF view: ``{name}_top`` has its five best candidates."""
+    return f""", {name}_tc AS (SELECT id, term, count(*) AS tf FROM (SELECT entity_id AS id, unnest({terms}) AS term FROM c) GROUP BY ALL),
+{name}_tq AS (SELECT id, term, count(*) AS tf FROM (SELECT entity_id AS id, unnest({terms}) AS term FROM q) GROUP BY ALL),
+{name}_v AS (SELECT term, ln((1 + (SELECT count(*) FROM c)) / (1 + df)) + 1 AS idf FROM (SELECT term, count(*) AS df, sum(tf) AS total FROM {name}_tc GROUP BY 1 ORDER BY total DESC, term LIMIT {most})),
+{name}_xc AS (SELECT id, term, (1 + ln(tf)) * idf AS x FROM {name}_tc JOIN {name}_v USING (term)), {name}_xq AS (SELECT id, term, (1 + ln(tf)) * idf AS x FROM {name}_tq JOIN {name}_v USING (term)),
+{name}_wc AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM {name}_xc), {name}_wq AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM {name}_xq),
+{name}_s AS (SELECT a.id AS source1_id, b.id AS candidate_id, least(1.0, round(sum(a.w * b.w), 6)) AS score FROM {name}_wq a JOIN {name}_wc b USING (term) GROUP BY 1, 2),
+{name}_top AS (SELECT * FROM {name}_s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY source1_id ORDER BY score DESC, candidate_id) <= 5)
+"""
+
+
+_THREE = _view("name", _grams_in_words("name", 3, 4), 150_000) + _view("address", "regexp_extract_all(address, '[\\p{L}\\p{N}_]{2,}')", 100_000) + _view("combined", _grams("clean_text", 3, 5), 250_000)
+
+
+@query(_W + _THREE + """, every AS (SELECT *, 1 AS n, 0 AS a, 0 AS m FROM name_top UNION ALL SELECT *, 0, 1, 0 FROM address_top UNION ALL SELECT *, 0, 0, 1 FROM combined_top)
+SELECT source1_id, candidate_id, max(n) AS retrieved_by_name, max(a) AS retrieved_by_address, max(m) AS retrieved_by_combined, max(score) AS score, max(n) + max(a) + max(m) AS agreement FROM every GROUP BY 1, 2""")
 def multiview_topk(spark, sf):
     """The three views: name and whole text by characters, address by words."""
     return retrieve.multiview(*sides(spark, sf), "entity_id", 5)
 
 
+@query(_W + _view("address", "regexp_extract_all(address, '[\\p{L}\\p{N}_]{2,}')", 100_000) + "SELECT *, CAST(row_number() OVER (PARTITION BY source1_id ORDER BY score DESC, candidate_id) AS INTEGER) AS rank FROM address_top")
+def address_topk(spark, sf):
+    """The address channel by itself."""
+    column, terms, most = retrieve.VIEWS["address"]
+    return retrieve.tfidf(*sides(spark, sf), "entity_id", terms(F.col(column)), 5, most, content=F.col(column))
+
+
 @query()
 def countsketch_topk(spark, sf):
     p = t(spark, sf, "part").select(F.concat(F.lit("P"), "p_partkey").alias("entity_id"), F.col("p_name").alias("name"), F.concat_ws(" ", "p_brand", "p_type").alias("address"))
@@ -501,10 +544,26 @@ def frequency_feats(spark, sf):
     return pairs.frequency_features(_pairs(spark, sf), sides(spark, sf)[1]).select("source1_id", "candidate_id", "s1_name_rarity", "candidate_name_rarity")
 
 
-@query()
+def _token_rarity(label: str) -> str:
+    words = "list_distinct(" + _SET + ")"
+    return f""", {label}_k AS (SELECT token, count(*) AS df FROM (SELECT unnest({words.format(label)}) AS token FROM c) GROUP BY 1),
+{label}_w AS (SELECT source1_id, candidate_id, token, max(a) + max(b) = 2 AS shared FROM (
+  SELECT source1_id, candidate_id, unnest({words.format("s1_" + label)}) AS token, 1 AS a, 0 AS b FROM pt UNION ALL SELECT source1_id, candidate_id, unnest({words.format("candidate_" + label)}), 0, 1 FROM pt) GROUP BY 1, 2, 3),
+{label}_d AS (SELECT w.*, coalesce(df, 0) AS df, ln((n + 1) / (coalesce(df, 0) + 1)) AS idf, n FROM {label}_w w LEFT JOIN {label}_k USING (token) CROSS JOIN nn),
+{label}_f AS (SELECT source1_id, candidate_id, round(coalesce(max(df) FILTER (WHERE shared) / any_value(n), 0), 9) AS {label}_shared_df_max, round(coalesce(min(df) FILTER (WHERE shared) / any_value(n), 0), 9) AS {label}_shared_df_min,
+  coalesce(round(count(*) FILTER (WHERE shared AND df <= 5) / nullif(count(*) FILTER (WHERE shared), 0), 9), 0) AS {label}_rare_of_shared,
+  round(CASE WHEN sum(idf) > 0 THEN coalesce(sum(idf) FILTER (WHERE shared), 0) / sum(idf) ELSE 0 END, 6) AS {label}_idf_jaccard FROM {label}_d GROUP BY 1, 2)
+"""
+
+
+_RARITY = [f"{x}_{m}" for x in ("name", "address") for m in ("shared_df_max", "shared_df_min", "idf_jaccard")]
+
+
+@query(_PT + ", nn AS (SELECT count(*) AS n FROM c)" + _token_rarity("name") + _token_rarity("address")
+    + "SELECT source1_id, candidate_id, " + ", ".join(f"coalesce({c}, 0.0)::DOUBLE AS {c}" for c in _RARITY) + " FROM pt LEFT JOIN name_f USING (source1_id, candidate_id) LEFT JOIN address_f USING (source1_id, candidate_id)")
 def frequency_token_feats(spark, sf):
     f = pairs.frequency_features(_pairs(spark, sf), sides(spark, sf)[1])
-    return f.select("source1_id", "candidate_id", *[c for c in f.columns if "shared" in c or "idf" in c])
+    return f.select("source1_id", "candidate_id", *_RARITY)
 
 
 @query(_W + r""", a AS (SELECT entity_id, regexp_replace(address, '\s+', ' ', 'g') AS x FROM e)
@@ -642,9 +701,10 @@ def coverage(spark, sf):
     return decide.covered(lists, _ids(spark, sf)).withColumn("matched", F.array_join("matched", ","))
 
 
-@query(_SC + "SELECT source1_id, matched_id AS candidate_id FROM truth EXCEPT SELECT source1_id, candidate_id FROM sc")
+@query(_SC + "SELECT source1_id, matched_id AS candidate_id FROM truth EXCEPT SELECT source1_id, candidate_id FROM rk WHERE r = 1")
 def consistency(spark, sf):
-    return decide.inconsistent(truth_pairs(spark, sf).withColumnRenamed("matched_id", "candidate_id"), _scored(spark, sf))
+    """Truth against the single best candidate: copies beyond the first are missed."""
+    return decide.inconsistent(truth_pairs(spark, sf).withColumnRenamed("matched_id", "candidate_id"), _tfidf(spark, sf, 1))
 
 
 @query(_SC + """SELECT count(*) AS n_true, count(sc.candidate_id) AS n_found, round(count(sc.candidate_id) / count(*), 6) AS recall FROM truth t LEFT JOIN sc ON sc.source1_id = t.source1_id AND sc.candidate_id = t.matched_id""")
@@ -670,21 +730,46 @@ def candidate_statistics(spark, sf):
     return decide.candidate_statistics(_scored(spark, sf), _ids(spark, sf))
 
 
-@query()
+_PARTS = "list_distinct(string_split({}, ' '))"
+
+
+@query(_SC + _AT + f""", same AS (SELECT q.entity_id AS source1_id, c.entity_id AS candidate_id, q.name AS name, q.address AS x, c.address AS y FROM q JOIN c USING (name) WHERE name <> ''),
+often AS (SELECT name FROM c GROUP BY 1 HAVING count(*) > 5)
+SELECT source1_id, candidate_id, CASE WHEN sc.prob_match IS NULL THEN 'not_retrieved' WHEN x = '' OR y = '' THEN 'empty_address'
+  WHEN regexp_matches(regexp_replace(name, '[A-Za-z\\x{{C0}}-\\x{{24F}}\\x{{1E00}}-\\x{{1EFF}}]', '', 'g'), '\\p{{L}}') THEN 'non_latin'
+  WHEN name IN (SELECT name FROM often) THEN 'common_name'
+  WHEN len(list_intersect({_PARTS.format("x")}, {_PARTS.format("y")})) / len(list_distinct(list_concat({_PARTS.format("x")}, {_PARTS.format("y")}))) < 0.3 THEN 'address_mismatch'
+  WHEN sc.prob_match < 0.5 THEN 'low_probability' ELSE 'ranking' END AS category
+FROM same LEFT JOIN sc USING (source1_id, candidate_id) WHERE (source1_id, candidate_id) NOT IN (SELECT (source1_id, candidate_id) FROM pred)""")
 def miss_categories(spark, sf):
+    """With equality of names as truth, which whole-text similarity often misses."""
     q, c = sides(spark, sf)
-    tp = pairs.pair_table(truth_pairs(spark, sf).withColumnRenamed("matched_id", "candidate_id"), q, c)
+    same = q.where("name <> ''").select(F.col("entity_id").alias("source1_id"), "name").join(c.select(F.col("entity_id").alias("candidate_id"), "name"), "name").select("source1_id", "candidate_id")
     scored = _scored(spark, sf)
     common = c.groupBy("name").agg(F.count("*").alias("n")).where("n > 5").select("name")
-    return decide.classify_misses(tp, scored, decide.apply_threshold(scored, 0.5), common, list(fixed.LEGAL_FORMS))
-
-
-@query(_SC + """, sub AS (SELECT source1_id, string_agg(candidate_id, ',') AS m FROM sc GROUP BY 1)
-SELECT 'missing_source' AS issue, (SELECT count(*) FROM ids WHERE source1_id NOT IN (SELECT source1_id FROM sub)) AS n UNION ALL SELECT 'extra_source', 0 UNION ALL SELECT 'repeated_source', 0
-UNION ALL SELECT 'repeated_in_list', 0 UNION ALL SELECT 'bad_prefix', 0 UNION ALL SELECT 'unknown_id', 0 UNION ALL SELECT 'not_a_candidate', 0""")
+    return decide.classify_misses(pairs.pair_table(same, q, c), scored, decide.apply_threshold(scored, 0.5), common, list(fixed.LEGAL_FORMS))
+
+
+@query(_SC + """, lists AS (SELECT source1_id, string_agg(candidate_id, ',' ORDER BY candidate_id) AS m FROM sc GROUP BY 1),
+one AS (SELECT source1_id, CASE WHEN source1_id LIKE '%3' THEN m || ',' || m WHEN source1_id LIKE '%1' THEN m || ',X9-1,S2-0' ELSE m END AS m FROM lists WHERE source1_id NOT LIKE '%9'),
+sub AS (SELECT * FROM one UNION ALL SELECT * FROM one WHERE source1_id LIKE '%7' UNION ALL SELECT 'S1-x', 'S2-1'),
+p AS (SELECT source1_id, unnest(string_split(m, ',')) AS candidate_id FROM sub)
+SELECT 'missing_source' AS issue, (SELECT count(*) FROM ids WHERE source1_id NOT IN (SELECT source1_id FROM sub)) AS n
+UNION ALL SELECT 'extra_source', (SELECT count(DISTINCT source1_id) FROM sub WHERE source1_id NOT IN (SELECT source1_id FROM ids))
+UNION ALL SELECT 'repeated_source', (SELECT count(*) FROM (SELECT source1_id FROM sub GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'repeated_in_list', (SELECT count(*) FROM sub WHERE len(string_split(m, ',')) > len(list_distinct(string_split(m, ','))))
+UNION ALL SELECT 'bad_prefix', (SELECT count(*) FROM p WHERE NOT regexp_matches(candidate_id, '^S[23]-'))
+UNION ALL SELECT 'unknown_id', (SELECT count(*) FROM p WHERE candidate_id NOT IN (SELECT entity_id FROM c))
+UNION ALL SELECT 'not_a_candidate', (SELECT count(*) FROM p WHERE (source1_id, candidate_id) NOT IN (SELECT (source1_id, candidate_id) FROM sc))""")
 def submission_issues(spark, sf):
+    """A result table with every fault planted: rows left out, repeated and foreign, ids repeated, malformed and unknown."""
     scored = _scored(spark, sf)
-    return decide.submission_issues(reshape.implode_ids(scored, "source1_id", "candidate_id"), _ids(spark, sf), sides(spark, sf)[1], scored)
+    lists = reshape.implode_ids(scored, "source1_id", "candidate_id")
+    of = lambda end: F.col("source1_id").endswith(end)
+    m = F.when(of("3"), F.concat_ws(",", "matched_ids", "matched_ids")).when(of("1"), F.concat_ws(",", "matched_ids", F.lit("X9-1"), F.lit("S2-0"))).otherwise(F.col("matched_ids"))
+    one = lists.where(~of("9")).select("source1_id", m.alias("matched_ids"))
+    foreign = spark.range(1).select(F.lit("S1-x").alias("source1_id"), F.lit("S2-1").alias("matched_ids"))
+    return decide.submission_issues(one.unionByName(one.where(of("7"))).unionByName(foreign), _ids(spark, sf), sides(spark, sf)[1], scored)
 
 
 # Comparison
@@ -711,24 +796,55 @@ def split_statistics(spark, sf):
     return compare.split_statistics(_labeled(spark, sf), learn.split_entities(_ids(spark, sf)))
 
 
-@query()
+@query(_W + _TFIDF.format(col="clean_text", by="", k=5) + """, f AS (SELECT *, CAST('0x' || substr(md5(source1_id || ':42'), 1, 8) AS BIGINT) / 4294967296.0 < 0.15 AS v FROM tfidf),
+tr AS (SELECT source1_id, candidate_id FROM f WHERE NOT v), he AS (SELECT source1_id, candidate_id FROM f WHERE v UNION ALL SELECT source1_id, candidate_id FROM tr WHERE source1_id LIKE '%1'),
+tt AS (SELECT * FROM tr UNION ALL SELECT * FROM tr WHERE source1_id LIKE '%2'), hh AS (SELECT * FROM he UNION ALL SELECT * FROM he WHERE source1_id LIKE '%4'),
+known AS (SELECT entity_id AS id FROM q WHERE entity_id NOT LIKE '%5')
+SELECT 'entities_in_both' AS "check", (SELECT count(*) FROM (SELECT DISTINCT source1_id FROM tt) WHERE source1_id IN (SELECT source1_id FROM hh)) AS broken
+UNION ALL SELECT 'pairs_in_both', (SELECT count(*) FROM tt WHERE (source1_id, candidate_id) IN (SELECT (source1_id, candidate_id) FROM hh))
+UNION ALL SELECT 'repeated_train_pairs', (SELECT count(*) FROM (SELECT 1 FROM tt GROUP BY source1_id, candidate_id HAVING count(*) > 1))
+UNION ALL SELECT 'repeated_held_pairs', (SELECT count(*) FROM (SELECT 1 FROM hh GROUP BY source1_id, candidate_id HAVING count(*) > 1))
+UNION ALL SELECT 'held_ids_unknown', (SELECT count(*) FROM (SELECT DISTINCT source1_id FROM hh) WHERE source1_id NOT IN (SELECT id FROM known))
+UNION ALL SELECT 'truth_outside_ids', (SELECT count(*) FROM (SELECT DISTINCT source1_id FROM truth) WHERE source1_id NOT IN (SELECT id FROM known))
+UNION ALL SELECT 'labels_or_ids_as_features', 1""")
 def leak_checks(spark, sf):
+    """Folds with every leak planted: shared and repeated pairs, unknown ids, a label among the features."""
     train, held = learn.split_pairs(cut(_labeled(spark, sf), "labeled"), learn.split_entities(_ids(spark, sf)))
-    return compare.leaks(train, held, ["score"], truth_pairs(spark, sf), _ids(spark, sf))
+    of = lambda df, end: df.where(F.col("source1_id").endswith(end))
+    held = held.unionByName(of(train, "1"))
+    known = _ids(spark, sf).where(~F.col("source1_id").endswith("5"))
+    return compare.leaks(train.unionByName(of(train, "2")), held.unionByName(of(held, "4")), ["score", "label"], truth_pairs(spark, sf), known)
 
 
-@query()
+def _lengths(a: str, b: str) -> str:
+    most = f"greatest(length({a}), length({b}))"
+    return f"CASE WHEN {most} = 0 THEN 0.0::DOUBLE ELSE abs(length({a}) - length({b})) / {most} END, CASE WHEN {most} = 0 THEN 1.0::DOUBLE ELSE least(length({a}), length({b})) / {most} END"
+
+
+@query(_PT + f""", ab AS (SELECT [{_lengths("s1_name", "candidate_name")}, score] AS x, [{_lengths("substr(s1_name, 1, 10)", "candidate_name")}, score] AS y FROM pt),
+g AS (SELECT unnest(['name_length_diff', 'name_length_ratio', 'score']) AS feature, unnest(list_transform(list_zip(x, y), lambda z: abs(z[1] - z[2]))) AS gap FROM ab)
+SELECT feature, count(*) AS compared, count(*) FILTER (WHERE gap > 1e-9) AS different, round(max(gap), 9) AS largest FROM g GROUP BY 1""")
 def feature_comparison(spark, sf):
-    f = pairs.lengths(_pairs(spark, sf))
-    return compare.feature_tables(f, f, ["name_length_diff", "name_length_ratio", "score"])
+    """Features of the same pairs from whole names and from names cut to ten characters."""
+    p = _pairs(spark, sf)
+    short = pairs.lengths(p.withColumn("s1_name", F.substring("s1_name", 1, 10)))
+    return compare.feature_tables(pairs.lengths(p), short, ["name_length_diff", "name_length_ratio", "score"]).withColumn("largest", F.round("largest", 9))
 
 
-@query()
+@query(f"""WITH q AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, lower(s_name || ' ' || s_nationkey) AS x FROM supplier), c AS (SELECT DISTINCT p_name AS id, lower(p_name) AS x FROM part),
+tc AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({_grams_in_words("x", 2, 4)}) AS term FROM c) GROUP BY ALL), tq AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({_grams_in_words("x", 2, 4)}) AS term FROM q) GROUP BY ALL),
+v AS (SELECT term, ln((1 + (SELECT count(*) FROM c)) / (1 + count(*))) + 1 AS idf FROM tc GROUP BY 1),
+xc AS (SELECT id, term, (1 + ln(tf)) * idf AS x FROM tc JOIN v USING (term)), xq AS (SELECT id, term, (1 + ln(tf)) * idf AS x FROM tq JOIN v USING (term)),
+wc AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM xc), wq AS (SELECT id, term, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS w FROM xq),
+z AS (SELECT id, sum(w) AS size FROM wc GROUP BY 1),
+s AS (SELECT wq.id AS source1_id, wc.id AS candidate_id, round(sum(wq.w * wc.w * 2.5 / (wc.w + 1.5 * (0.25 + 0.75 * size / (SELECT avg(size) FROM z)))), 6) AS score FROM wq JOIN wc USING (term) JOIN z ON z.id = wc.id GROUP BY 1, 2),
+t AS (SELECT *, CAST(row_number() OVER (PARTITION BY source1_id ORDER BY score DESC, candidate_id) AS INTEGER) AS rank FROM s WHERE score >= 0.25 QUALIFY rank <= 10)
+SELECT q.id AS source1_id, coalesce(candidate_id, 'NO_MATCH') AS candidate_id, coalesce(score, 0.0) AS score, rank FROM q LEFT JOIN t ON t.source1_id = q.id""")
 def no_match_topk(spark, sf):
-    """Suppliers against customers by name; suppliers without a match stand as NO_MATCH."""
-    q = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.concat_ws(" ", "s_name", F.col("s_nationkey").cast("string")).alias("x"))
+    """Suppliers against part names; suppliers without a match stand as NO_MATCH."""
+    q = t(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.concat_ws(" ", "s_name", F.col("s_nationkey").cast("string")).alias("x"))
     c = t(spark, sf, "part").select("p_name").distinct().select(F.col("p_name").alias("id"), F.col("p_name").alias("x"))
-    return retrieve.saturated_tfidf(q.select(F.col("id").cast("string").alias("id"), "x"), c, "id", "x")
+    return retrieve.saturated_tfidf(q, c, "id", "x")
 
 
 # Learning
@@ -753,7 +869,7 @@ def neg_sample(spark, sf):
 @query()
 def bucket_sample(spark, sf):
     q, c = sides(spark, sf)
-    f = pairs.features(pairs.label(pairs.pair_table(_tfidf(spark, sf), q.withColumn("address", F.col("name")), c.withColumn("address", F.col("name"))), truth_pairs(spark, sf)), ("name", "address", "rich"))
+    f = pairs.features(pairs.label(pairs.pair_table(_tfidf(spark, sf), q, c), truth_pairs(spark, sf)), ("name", "address", "rich"))
     return learn.sample_by_bucket(cut(f, "features"), 2).select("source1_id", "candidate_id", "label", "bucket")
 
 
@@ -765,5 +881,5 @@ def gbt_scores(spark, sf):
     f = cut(f, "features")
     columns = pairs.feature_columns(f, ["source1_id", "candidate_id"])
     train, held = learn.split_pairs(f, learn.split_entities(_ids(spark, sf)))
-    model = learn.train_with_hard_negatives(train, columns, trees=5, depth=3)
+    model = learn.train_with_hard_negatives(train, columns)
     return learn.score(model, held).select("source1_id", "candidate_id", "label", F.round("prob_match", 6).alias("prob_match"))

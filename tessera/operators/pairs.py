@@ -185,35 +185,45 @@ def frequency_features(pairs: DataFrame, corpus: DataFrame, ident: str = "entity
 COMPONENTS = ("postal", "house", "unit", "floor", "locality")
 
 
-def components(address: Column) -> dict[str, Column]:
-    """Components of one address; empty where it has none."""
-    t = F.trim(F.regexp_replace(F.lower(F.coalesce(address, F.lit(""))), r"\s+", " "))
-    get = lambda p, g=1: F.regexp_extract(t, p, g)
-    first = lambda *cs: F.coalesce(*[F.nullif(c, F.lit("")) for c in cs], F.lit(""))
-    return {
-        "postal": first(get(fixed.PIN), get(fixed.POSTAL_FR), get(fixed.ZIP)),
-        "house": get(fixed.HOUSE),
-        "unit": get(fixed.UNIT),
-        "floor": F.when(get(fixed.FLOOR, 0) == "", "").otherwise(first(get(fixed.FLOOR, 1), get(fixed.FLOOR, 2), F.lit("0"))),
-        "locality": F.trim(get(fixed.LOCALITY)),
-        "landmark": F.trim(get(fixed.NEAR)),
-    }
-
-
 def parse_addresses(df: DataFrame, address: str = "address") -> DataFrame:
-    return df.withColumns({f"{address}_{k}": v for k, v in components(F.col(address)).items()})
+    """Columns ``address_*`` with the components of each address; empty where it has none.
+
+    Every pattern is run once: a first step finds, a second chooses.
+    """
+    found = {"pin": (fixed.PIN, 1), "fr": (fixed.POSTAL_FR, 1), "zip": (fixed.ZIP, 1), "house": (fixed.HOUSE, 1), "unit": (fixed.UNIT, 1), "floor": (fixed.FLOOR, 0), "floor1": (fixed.FLOOR, 1), "floor2": (fixed.FLOOR, 2), "locality": (fixed.LOCALITY, 1), "near": (fixed.NEAR, 1)}
+    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(address), F.lit(""))), r"\s+", " "))
+    steps = df.withColumn("__part_text", plain).withColumns({f"__part_{k}": F.regexp_extract("__part_text", p, g) for k, (p, g) in found.items()})
+    part = lambda k: F.col(f"__part_{k}")
+    first = lambda *ks: F.coalesce(*[F.when(part(k) != "", part(k)) for k in ks], F.lit(""))
+    chosen = {
+        "postal": first("pin", "fr", "zip"),
+        "house": part("house"),
+        "unit": part("unit"),
+        "floor": F.when(part("floor") == "", "").otherwise(F.coalesce(*[F.when(part(k) != "", part(k)) for k in ("floor1", "floor2")], F.lit("0"))),
+        "locality": F.trim(part("locality")),
+        "landmark": F.trim(part("near")),
+    }
+    return steps.withColumns({f"{address}_{k}": v for k, v in chosen.items()}).drop("__part_text", *[f"__part_{k}" for k in found])
 
 
 def component_features(pairs: DataFrame) -> DataFrame:
-    """Agreement and conflict of parsed components: columns ``s1_address_*`` and ``candidate_address_*``."""
+    """Agreement and conflict of parsed components: columns ``s1_address_*`` and ``candidate_address_*``.
+
+    Localities agree if they share a word; ``component_agreement`` is the share of the five that agree.
+    """
+    side = lambda s, c: F.coalesce(F.col(f"{s}_address_{c}"), F.lit(""))
     out = {}
     agree = []
     for c in COMPONENTS:
-        a, b = F.coalesce(F.col(f"s1_address_{c}"), F.lit("")), F.coalesce(F.col(f"candidate_address_{c}"), F.lit(""))
+        a, b = side("s1", c), side("candidate", c)
         out[f"{c}_match"] = ((a == b) & (a != "")).cast("int")
         agree.append(out[f"{c}_match"])
         if c in ("postal", "house", "unit"):
             out[f"{c}_conflict"] = ((a != b) & (a != "") & (b != "")).cast("int")
+    x, y = _tokens(side("s1", "locality")), _tokens(side("candidate", "locality"))
+    out["locality_token_overlap"] = F.when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(jaccard(x, y, 0.0))
+    out["street_number_match"] = F.arrays_overlap(_numbers(side("s1", "house")), _numbers(side("candidate", "house"))).cast("int")
+    agree[COMPONENTS.index("locality")] = F.arrays_overlap(x, y).cast("int")
     out["component_agreement"] = reduce(Column.__add__, agree) / len(COMPONENTS)
     return pairs.withColumns(out)
 
@@ -231,7 +241,9 @@ def rich(pairs: DataFrame) -> DataFrame:
             f"rich_{label_}_length_ratio": F.least(la, lb) / (F.greatest(la, lb) + 1e-9),
             f"rich_{label_}_jaccard": jaccard(_tokens(a), _tokens(b), 0.0),
         }
-    return pairs.withColumns(out)
+    near = fuzzy.measures({label_: ("jaro_winkler", _empty(a), _empty(b)) for label_, (a, b) in (("name", NAMES), ("address", ADDRESSES))})
+    winkler = {f"rich_{label_}_jaro_winkler": F.col(f"__rich.{label_}") for label_ in ("name", "address")}
+    return pairs.withColumns(out).withColumn("__rich", near).withColumns(winkler).drop("__rich")
 
 
 def translit_features(pairs: DataFrame, corrections: dict[str, str]) -> DataFrame:
@@ -261,7 +273,8 @@ def translit_features(pairs: DataFrame, corrections: dict[str, str]) -> DataFram
     )
 
 
-#: Feature groups by name; a feature set is a list of names.
+#: Feature groups by name; a feature set is a list of names. Components need parsed addresses; frequency and
+#: transliteration features, which need a corpus or a dictionary, are functions of their own.
 GROUPS = {
     "name": name_similarity,
     "address": address_similarity,
@@ -270,6 +283,8 @@ GROUPS = {
     "difference": differences,
     "fuzzy": fuzzy_features,
     "rich": rich,
+    "margin": margins,
+    "component": component_features,
 }
 DEFAULT = ("name", "address", "metadata", "length", "difference", "fuzzy", "rich")
 

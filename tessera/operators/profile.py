@@ -47,3 +47,21 @@ def token_statistics(df: DataFrame, ident: str, text: str) -> DataFrame:
     n = df.agg(F.count("*").alias("n_docs"))
     counted = tokens.groupBy("token").agg(F.count("*").alias("df"))
     return counted.join(F.broadcast(n), how="cross").select("token", "df", F.log((F.col("n_docs") + 1) / (F.col("df") + 1)).alias("idf"))
+
+
+def truth_statistics(source1: DataFrame, truth: DataFrame) -> DataFrame:
+    """One row: source rows, those without a match, mean and most matches, references to S2 and S3.
+
+    ``source1`` has source1_id, ``truth`` source1_id and matched_id; a row without a match may lack there.
+    """
+    n = source1.select("source1_id").join(truth, "source1_id", "left")
+    of = lambda prefix: F.count(F.when(F.col("matched_id").cast("string").startswith(prefix), 1))
+    each = n.groupBy("source1_id").agg(F.count("matched_id").alias("n"), of("S2-").alias("s2"), of("S3-").alias("s3"))
+    return each.agg(
+        F.count("*").alias("source_rows"),
+        F.count(F.when(F.col("n") == 0, 1)).alias("zero_match"),
+        F.round(F.avg("n"), 6).alias("mean_matches"),
+        F.max("n").alias("max_matches"),
+        F.coalesce(F.sum("s2"), F.lit(0)).alias("s2_references"),
+        F.coalesce(F.sum("s3"), F.lit(0)).alias("s3_references"),
+    )

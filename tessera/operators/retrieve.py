@@ -301,7 +301,21 @@ def _dot(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def embedding_text(df: DataFrame) -> Column:
+    """What a vector of a row is made from: name and address, or where both are empty (or lacking) the clean text."""
+    given = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) if c in df.columns else F.lit("")
+    both = F.trim(F.concat_ws(" ", given("name"), given("address"))) if {"name", "address"} <= set(df.columns) else F.lit("")
+    return F.when(both != "", both).otherwise(given("clean_text"))
+
+
+def require_vectors(df: DataFrame, vector: str) -> None:
+    """An error that names the remedy if the dense channel is asked for without vectors."""
+    if vector not in df.columns:
+        raise RuntimeError(f"the dense channel needs a column '{vector}' of vectors: join one that a model of your choice made from embedding_text")
+
+
 def unit(df: DataFrame, ident: str, vector: str) -> DataFrame:
+    require_vectors(df, vector)
     v = F.col(vector).cast("array<double>")
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
     return df.select(F.col(ident).alias("id"), F.transform(v, lambda x: x / norm).alias("v"))

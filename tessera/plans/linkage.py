@@ -21,7 +21,8 @@ STAGES = ("clean", "candidates", "features", "model", "threshold", "decisions",
 def clean(df: DataFrame, with_transliteration: bool = False) -> DataFrame:
     """The sixteen cleaned columns of a source table; row count and ids stay."""
     name, address = F.col("business_name"), F.col("business_address")
-    normal = df.withColumn("business_name_normalized", text.normalize_name(name, transliterate if with_transliteration else None)).withColumn("business_address_normalized", text.normalize_address(address))
+    normal = text.with_name(df, name, "business_name_normalized", transliterate if with_transliteration else None)
+    normal = text.with_address(normal, address, "business_address_normalized")
     canonical = text.canonical_address(F.col("business_address_normalized"))
     return normal.select(
         "entity_id",

@@ -24,8 +24,9 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "4g") ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where neither the session nor the context names one (tests on one
-    machine) a temporary folder is made and set for the context.
+    Only where neither the session nor the context names one and the master is
+    this machine (tests) a temporary folder is made and set for the context; on
+    a cluster that is an error, as executors would not see each other's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -33,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     held = spark.sparkContext.getCheckpointDir()
     if held:
         return held.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

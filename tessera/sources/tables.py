@@ -161,6 +161,24 @@ def read_mapping(spark: SparkSession, path: str) -> dict[str, str]:
     return found.get("mapping", found)
 
 
+def write_mapping(spark: SparkSession, path: str, mapping: dict[str, str]) -> None:
+    """A correction dictionary as a flat JSON map, as ``read_mapping`` reads it."""
+    write_report(spark, path, mapping)
+
+
+def write_candidates(found: DataFrame, path: str) -> None:
+    """Ids and cosine of candidate pairs, tab-separated; the score may stand under any of its names."""
+    score = next((c for c in ("cosine_similarity", "blocking_cosine_sim", "score") if c in found.columns), None)
+    if score is None:
+        raise ValueError(f"no score among {found.columns}")
+    write_tsv(found.select(F.col("source1_id").alias("source1_entity_id"), F.col("candidate_id").alias("candidate_entity_id"), F.col(score).alias("cosine_similarity")), path)
+
+
+def write_labeled(pairs: DataFrame, path: str) -> None:
+    """Labelled pairs with all their columns, tab-separated."""
+    write_tsv(pairs, path)
+
+
 def vector_index(df: DataFrame, path: str, metadata: dict) -> bool:
     """Write vectors as Parquet with metadata beside them, unless an index with equal metadata is there.
 
