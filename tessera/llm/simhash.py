@@ -21,6 +21,16 @@ Hot buckets are found before they are shuffled, by counts over ``SLOTS`` slots o
 the buckets' hashes: what lies in a slot of over ``BUCKET`` rows (and over four
 times the mean) is refined where it is; so no task reads a hot bucket.
 
+``deduplicated``, the cleaning stage, goes beyond the four bits, which few copies
+with changed words meet. Of the documents that stay, near copies are sought by
+a wide fingerprint: ``WIDE`` times 64 bits over the set of 5-word shingles. Two
+documents are near copies if they share one of ``SLOTS_NEAR`` least shingle hashes
+(documents of similarity 0.8 do but for one in 600) and their wide fingerprints
+differ in at most ``NEAR`` bits, which is a similarity of about 0.8 (of pairs of similarity 0.7 about
+one in 60 is within). Of linked ones the least id stays. A bucket of over ``NEAR_BUCKET``
+documents is dealt by a second shared hash, and what is still larger in chunks:
+only there can a pair be missed, where no chunk of any bucket holds both.
+
 Nulls: a null text, or one without words, has fingerprint zero and is linked
 like any other. Rows with null id get a fingerprint and component, but no null
 is ever a component's id unless all its ids are null. Repeated rows stay.
@@ -38,6 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.llm.components import components
 from tessera.llm.rows import map_texts, numbered
@@ -49,6 +60,11 @@ SLOTS = 1 << 20
 PIVOTS = 16
 _CHUNK = 1 << 16
 
+NEAR_WORDS, WIDE, NEAR, SLOTS_NEAR = 5, 16, 170, 4
+NEAR_BUCKET = 1024
+#: Near copies differ in no more of the first 64 bits; a cheap first look.
+_NEAR_FIRST = 28
+
 
 def _pivots(n: int = PIVOTS) -> np.ndarray:
     """Reference fingerprints: hashes of their numbers."""
@@ -78,6 +94,32 @@ def fingerprint(text: bytes | None) -> int:
     return int(bits.view("<u8")[0])
 
 
+_FACTORS = np.array([xxhash.xxh64_intdigest(str(i), 11) | 1 for i in range(WIDE)], dtype=np.uint64)
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """``WIDE`` hashes of each hash."""
+    x = hashes[:, None] * _FACTORS
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def sketch(text: bytes | None) -> tuple[list[int], bytes]:
+    """The least hashes and the wide fingerprint of the text's set of 5-word shingles."""
+    words = text.lower().split() if text else []
+    runs = [b" ".join(words[i : i + NEAR_WORDS]) for i in range(max(1, len(words) - NEAR_WORDS + 1))]
+    hashes = np.unique(np.fromiter((xxhash.xxh64_intdigest(r, SEED) for r in runs), dtype=np.uint64, count=len(runs)))
+    ones = np.zeros(64 * WIDE, dtype=np.int64)
+    least = np.full(SLOTS_NEAR, (1 << 64) - 1, dtype=np.uint64)
+    for at in range(0, len(hashes), 4096):
+        x = _mixed(hashes[at : at + 4096])
+        least = np.minimum(least, x[:, :SLOTS_NEAR].min(axis=0))
+        ones += np.unpackbits(x.view(np.uint8).reshape(len(x), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return least.view(np.int64).tolist(), np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes()
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -288,21 +330,105 @@ def digests(docs: DataFrame) -> DataFrame:
     return grouped(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key``, fp, and what ``sketch`` gives."""
+
+    def make() -> Callable:
+        return lambda t: (_signed(fingerprint(t)), *sketch(t))
+
+    fields = [("fp", T.LongType()), ("least", T.ArrayType(T.LongType())), ("wide", T.BinaryType())]
+    return map_texts(docs, make, fields, keys=(key,), text=text)
+
+
+def _near_in_buckets(kind: T.DataType) -> Callable:
+    """Rows (slot, key, salt, h, wide), sorted, of whole buckets. Out: links (a, b)."""
+    arrow = to_arrow_schema(T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
+
+    def links_of(ids: list, wide: np.ndarray) -> list[tuple]:
+        left, found = np.arange(len(ids)), []
+        while len(left) > 1:
+            root, left = int(left[0]), left[1:]
+            front = [root]
+            while front and len(left):
+                x = front.pop()
+                near = left[np.bitwise_count(wide[left, 0] ^ wide[x, 0]) <= _NEAR_FIRST]
+                near = near[np.bitwise_count(wide[near] ^ wide[x]).sum(axis=1, dtype=np.int32) <= NEAR]
+                if len(near):
+                    found += [(ids[m], ids[root]) for m in near.tolist()]
+                    front += near.tolist()
+                    left = np.setdiff1d(left, near, assume_unique=True)
+        return found
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def solved(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            marks = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("slot", "key", "salt")]
+            new = np.any([m[1:] != m[:-1] for m in marks], axis=0)
+            starts = np.concatenate([[0], np.flatnonzero(new) + 1, [batch.num_rows]]).tolist()
+            ids, raw = batch.column("h"), batch.column("wide")
+            found = []
+            for s, e in zip(starts, starts[1:]):
+                if e - s > 1:
+                    wide = np.frombuffer(b"".join(raw.slice(s, e - s).to_pylist()), dtype="<u8").reshape(e - s, WIDE)
+                    found += links_of(ids.slice(s, e - s).to_pylist(), wide)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            last = [batch.column(c)[batch.num_rows - 1] for c in ("slot", "key", "salt")]
+            first = [batch.column(c)[0] for c in ("slot", "key", "salt")]
+            if first == last:  # the bucket may go on
+                continue
+            whole = pa.concat_batches(held)
+            mark = np.all([whole.column(c).to_numpy(zero_copy_only=False) == x.as_py() for c, x in zip(("slot", "key", "salt"), last)], axis=0)
+            cut_at = int(np.argmax(mark))
+            yield from solved(whole.slice(0, cut_at))
+            held = [whole.slice(cut_at)]
+        if held:
+            yield from solved(pa.concat_batches(held))
+
+    return run
+
+
+def near_links(sketches: DataFrame) -> DataFrame:
+    """(a, b): links among rows (h, least, wide) with unique h."""
+    each = sketches.select("h", "wide", "least", F.posexplode("least").alias("slot", "key"))
+    sizes = lambda df, label: cut(df.groupBy("slot", "key").agg(F.count("*").alias("n")).where("n > 1"), label)
+    shared = each.join(sizes(each, "shared"), ["slot", "key"])
+    plain = shared.where(F.col("n") <= NEAR_BUCKET).select("slot", "key", F.lit(0).alias("salt"), "h", "wide")
+    # Of a hot bucket, those that share a second hash meet.
+    second = shared.where(F.col("n") > NEAR_BUCKET).select("h", "wide", "slot", "key", F.posexplode("least").alias("other", "next")).where("other <> slot")
+    second = second.select("h", "wide", (F.col("slot") * SLOTS_NEAR + F.col("other") + SLOTS_NEAR).alias("slot"), F.xxhash64("key", "next").alias("key"))
+    again = second.join(sizes(second, "shared"), ["slot", "key"])
+    chunks = F.ceil(F.col("n") / NEAR_BUCKET).cast("int")
+    dealt = again.select("slot", "key", F.pmod(F.xxhash64("h", "slot"), chunks).cast("int").alias("salt"), "h", "wide")
+    kind = sketches.schema["h"].dataType
+    rows = plain.unionByName(dealt).repartition("slot", "key", "salt").sortWithinPartitions("slot", "key", "salt", "h")
+    return rows.mapInArrow(_near_in_buckets(kind), T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each group: the one whose id names the component; the same columns.
+    """One document of each group and, of these, one of linked near copies; the same columns.
 
-    Where ids are null or repeated, so that an id names several rows of a
-    group, one of those rows (the least by content) stays.
+    The least id stays. Where ids are null or repeated, so that an id names
+    several rows of a group, one of those rows (the least by content) stays.
     """
-    prints = cut(fingerprints(docs), "prints")
-    kept = grouped_prints(prints).where(F.col("doc_id").eqNullSafe(F.col("component"))).select("doc_id", "fp")
+    prints = cut(_sketches(docs, "doc_id", "text"), "prints")
+    kept = grouped_prints(prints.select("doc_id", "fp")).where(F.col("doc_id").eqNullSafe(F.col("component"))).select("doc_id", "fp")
     kept = cut(kept, "kept")
     n, ids = kept.agg(F.count("*"), F.countDistinct("doc_id")).first()
     plain, at = numbered(docs)
     if n == ids:
-        one = plain.join(kept.select(F.col("doc_id").alias("kept")), F.col(at["doc_id"]) == F.col("kept"), "left_semi")
+        ones = prints.join(kept.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("h"), "least", "wide")
+        copies = cut(components(near_links(ones), "near").select(F.col("a").alias("kept")), "copies")
+        stay = kept.select(F.col("doc_id").alias("kept")).join(copies, "kept", "left_anti")
+        one = plain.join(stay, F.col(at["doc_id"]) == F.col("kept"), "left_semi")
     else:
-        one = _one_of_each(plain, prints, at["doc_id"], at["text"])
+        one = _one_of_each(plain, prints.select("doc_id", "fp"), at["doc_id"], at["text"])
     return one.toDF(*docs.columns)
 
 
@@ -311,12 +437,13 @@ def _one_of_each(docs: DataFrame, prints: DataFrame, key: str, text: str) -> Dat
     whole = F.coalesce(F.col(text), F.lit(""))
     h = F.sha2(whole, 256)
     texts = docs.select(h.alias("h"), whole.alias("t")).groupBy("h").agg(F.first("t").alias("t"))
-    by_text = cut(map_texts(texts, lambda: lambda t: (_signed(fingerprint(t)),), [("fp", T.LongType())], keys=("h",), text="t"), "by-text")
+    by_text = cut(_sketches(texts, "h", "t"), "by-text")
     by_print = grouped_prints(prints).select("fp", "component").distinct()
     of = by_text.join(by_print, "fp").select("h", "component")
     rows = docs.withColumn("h", h).join(of, "h").where(F.col(key).eqNullSafe(F.col("component")))
     # A component without any id is as good as one id: its least text stays.
     label = F.coalesce(F.col("component").cast("string"), F.lit("null"))
-    best = rows.groupBy(label.alias("group")).agg(F.min("h").alias("best"))
-    one = rows.join(best, (F.col("h") == F.col("best")) & (label == F.col("group")), "left_semi")
+    best = cut(rows.groupBy(label.alias("group")).agg(F.min("h").alias("best")), "best")
+    copies = cut(components(near_links(by_text.join(best.select(F.col("best").alias("h")), "h", "left_semi").select("h", "least", "wide")), "near").select(F.col("a").alias("h")), "copies")
+    one = rows.join(best, (F.col("h") == F.col("best")) & (label == F.col("group")), "left_semi").join(copies, "h", "left_anti")
     return one.dropDuplicates(["h", key]).select(*docs.columns)
