@@ -5,6 +5,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import tiktoken
 import xxhash
 
@@ -98,6 +99,44 @@ def topk(rows, k=10):
     return out
 
 
+def near_sketch(text):
+    """Four least hashes and the 1024-bit fingerprint over the set of 5-word shingles, one word at a time."""
+    ws = [w for w in re.split("[\x20\x09-\x0d]+", ascii_lower(text or "")) if w]
+    shingles = {" ".join(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))}
+    hs = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles], dtype=np.uint64)
+    least, wide = [], 0
+    for n in range(16):
+        x = hs * np.uint64(xxhash.xxh64_intdigest(str(n), 11) | 1)
+        x = x ^ (x >> np.uint64(32))
+        x = x * np.uint64(0x9E3779B97F4A7C15)
+        x = x ^ (x >> np.uint64(29))
+        least.append((n, int(x.min())))
+        for b in range(64):
+            wide |= int(2 * int((x >> np.uint64(b) & np.uint64(1)).sum()) > len(hs)) << (64 * n + b)
+    return set(least[:4]), wide
+
+
+def deduplicated(docs):
+    """docs: (unique id, text) → ids that stay: the least of each group, and of linked near copies among these."""
+    kept = sorted({c for _, _, c in grouped([(i, fingerprint(t)) for i, t in docs])})
+    texts = dict(docs)
+    sketches = {i: near_sketch(texts[i]) for i in kept}
+    parent = {i: i for i in kept}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for n, a in enumerate(kept):
+        for b in kept[n + 1 :]:
+            (ka, wa), (kb, wb) = sketches[a], sketches[b]
+            if not ka.isdisjoint(kb) and (wa ^ wb).bit_count() <= 170:
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {root(i) for i in kept}
+
+
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 

@@ -107,8 +107,7 @@ def test_without_spans():
 def test_pipeline_against_brute_force(spark, tables):
     out = {r["doc_id"]: r for r in corpus_pipeline.run(spark, MID).collect()}
     docs = {r["doc_id"]: r["text"] for r in quality.kept(tables["documents"], tables["labels"]).select("doc_id", "text").collect()}
-    groups = brute.grouped([(i, brute.fingerprint(t)) for i, t in docs.items()])
-    docs = {i: docs[i] for i in {c for _, _, c in groups}}
+    docs = {i: docs[i] for i in brute.deduplicated(list(docs.items()))}
     items = [(r["item_id"], r["text"]) for r in tables["benchmark"].collect()]
     import itertools
 
