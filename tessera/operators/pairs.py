@@ -91,22 +91,34 @@ def lengths(pairs: DataFrame) -> DataFrame:
 
 
 def differences(pairs: DataFrame) -> DataFrame:
-    """Counts of common and one-sided tokens and numbers, and how far the first numbers are apart."""
-    out = {}
+    """Counts of common and one-sided tokens and numbers, and how far the first numbers are apart.
+
+    Tokens, and then counts, are columns of their own meanwhile (``__diff_*``), so that each is computed once.
+    """
+    col = lambda n: F.col(f"__diff_{n}")
+    held = {}
     for label_, (left, right) in (("name", NAMES), ("address", ADDRESSES)):
-        a, b = _tokens(_empty(left)), _tokens(_empty(right))
-        common, only_a, only_b = F.size(F.array_intersect(a, b)), F.size(F.array_except(a, b)), F.size(F.array_except(b, a))
-        out |= {f"{label_}_common": common, f"{label_}_s1_only": only_a, f"{label_}_candidate_only": only_b}
-        out[f"{label_}_difference"] = _share((only_a + only_b).cast("double"), common + only_a + only_b, 0.0)
-    x, y = (_numbers(F.concat_ws(" ", _empty(n), _empty(d))) for n, d in zip(NAMES, ADDRESSES))
-    common = F.size(F.array_intersect(x, y))
+        held |= {f"{label_}_a": _tokens(_empty(left)), f"{label_}_b": _tokens(_empty(right))}
+    held |= {f"number_{s}": _numbers(F.concat_ws(" ", _empty(n), _empty(d))) for s, n, d in zip("ab", NAMES, ADDRESSES)}
+    steps = pairs.withColumns({f"__diff_{k}": v for k, v in held.items()})
+    sizes = {}
+    for k in ("name", "address", "number"):
+        a, b = col(f"{k}_a"), col(f"{k}_b")
+        sizes |= {f"{k}_common": F.size(F.array_intersect(a, b)), f"{k}_only_a": F.size(F.array_except(a, b)), f"{k}_only_b": F.size(F.array_except(b, a))}
+    steps = steps.withColumns({f"__diff_{k}": v for k, v in sizes.items()})
+    out = {}
+    for k in ("name", "address"):
+        common, only_a, only_b = (col(f"{k}_{x}") for x in ("common", "only_a", "only_b"))
+        out |= {f"{k}_common": common, f"{k}_s1_only": only_a, f"{k}_candidate_only": only_b}
+        out[f"{k}_difference"] = _share((only_a + only_b).cast("double"), common + only_a + only_b, 0.0)
+    x, y, common = col("number_a"), col("number_b"), col("number_common")
     out["number_common"] = common
     out["number_overlap"] = _share(common.cast("double"), F.greatest(F.size(x), F.size(y)), 0.0)
     out["number_conflict"] = ((F.size(x) > 0) & (F.size(y) > 0) & (common == 0)).cast("int")
-    out["number_equal"] = ((F.size(x) > 0) & (F.size(F.array_except(x, y)) == 0) & (F.size(F.array_except(y, x)) == 0)).cast("int")
+    out["number_equal"] = ((F.size(x) > 0) & (col("number_only_a") == 0) & (col("number_only_b") == 0)).cast("int")
     p, q = F.try_element_at(x, F.lit(1)).cast("double"), F.try_element_at(y, F.lit(1)).cast("double")
     out["number_gap"] = F.coalesce(F.abs(p - q) / F.greatest(F.abs(p), F.abs(q), F.lit(1.0)), F.lit(-1.0))
-    return pairs.withColumns(out)
+    return steps.withColumns(out).drop(*[f"__diff_{k}" for k in (*held, *sizes)])
 
 
 def margins(pairs: DataFrame, score: str = "score") -> DataFrame:

@@ -65,3 +65,10 @@ def truth_statistics(source1: DataFrame, truth: DataFrame) -> DataFrame:
         F.coalesce(F.sum("s2"), F.lit(0)).alias("s2_references"),
         F.coalesce(F.sum("s3"), F.lit(0)).alias("s3_references"),
     )
+
+
+def summary(df: DataFrame) -> dict:
+    """Rows, and empty values by column, of one table: the figures of the cleaning report."""
+    empty = [F.count(F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", 1)).alias(c) for c in df.columns]
+    row = df.agg(F.count("*").alias("__rows"), *empty).first().asDict()
+    return {"rows": row.pop("__rows"), "empty": row}

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tessera import logs
 from tessera.functions import text
 from tessera.functions.translit import transliterate
-from tessera.operators import constraints, decide, fuse, learn, pairs, retrieve
+from tessera.operators import constraints, decide, fuse, learn, pairs, profile, retrieve
+from tessera.session import scratch
 from tessera.sources import tables
 
 STAGES = ("clean", "candidates", "features", "model", "threshold", "decisions", "output")
@@ -108,7 +109,8 @@ def run(spark: SparkSession, data: str, out: str, k: int = 20, with_transliterat
 
     def do_candidates() -> None:
         for split in ("train", "test"):
-            write(candidates(read(f"{split}_s1"), read(f"{split}_corpus"), k), f"{split}_candidates")
+            with scratch(spark):
+                write(candidates(read(f"{split}_s1"), read(f"{split}_corpus"), k), f"{split}_candidates")
 
     def do_features() -> None:
         for split in ("train", "test"):
@@ -119,7 +121,8 @@ def run(spark: SparkSession, data: str, out: str, k: int = 20, with_transliterat
         return pairs.feature_columns(df, base)
 
     def do_model() -> None:
-        labeled = pairs.label(read("train_pairs"), read("truth"))
+        write(pairs.label(read("train_pairs"), read("truth")), "labeled_pairs")
+        labeled = read("labeled_pairs")
         folds = learn.split_entities(read("train_s1").select(F.col("entity_id").alias("source1_id")))
         write(folds, "folds")
         train_pairs, _ = learn.split_pairs(labeled, folds)
@@ -157,6 +160,8 @@ def run(spark: SparkSession, data: str, out: str, k: int = 20, with_transliterat
 
     for name, make in zip(STAGES, (do_clean, do_candidates, do_features, do_model, do_threshold, do_decisions, do_output)):
         stage(name, make)
+    report["tables"] = {f"{split}_{side}": profile.summary(read(f"{split}_{side}")) for split in ("train", "test") for side in ("s1", "corpus")}
+    report["truth"] = profile.truth_statistics(read("train_s1").select(F.col("entity_id").alias("source1_id")), read("truth")).first().asDict()
     report["seconds"] = round(time.time() - began, 1)
     tables.write_report(spark, f"{out}/report.json", report)
     return report

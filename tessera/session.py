@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("tessera_made", default=None)
+
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "4g") -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
@@ -42,7 +47,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is cut inside is deleted at the end; results must have been written elsewhere by then."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        for path in _made.get():
+            _delete(spark, path)
+        _made.reset(token)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -58,8 +83,5 @@ def cut(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
 def discard(df: DataFrame) -> None:
     """Delete the files of a ``cut`` that nothing reads any more."""
     path = getattr(df, "_tessera_path", None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path is not None:
+        _delete(df.sparkSession, path)
