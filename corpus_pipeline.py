@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe, decontam, quality, secrets, simhash
 from tessera.llm.rows import table
-from tessera.session import work_path
+from tessera.session import scratch, work_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,7 +16,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints: the one of least id."""
+    """One document, the one of least id, of each group of linked fingerprints and of near copies."""
     return simhash.deduplicated(docs)
 
 
@@ -51,7 +51,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = work_path(spark, f"pipeline-{name}")
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(path)
+        with scratch(spark):  # tables that the stage wrote on its way go with it
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
     return docs
