@@ -28,8 +28,14 @@ documents are near copies if they share one of ``SLOTS_NEAR`` least shingle hash
 (documents of similarity 0.8 do but for one in 600) and their wide fingerprints
 differ in at most ``NEAR`` bits, which is a similarity of about 0.8 (of pairs of similarity 0.7 about
 one in 60 is within). Of linked ones the least id stays. A bucket of over ``NEAR_BUCKET``
-documents is dealt by a second shared hash, and what is still larger in chunks:
-only there can a pair be missed, where no chunk of any bucket holds both.
+documents is not compared as a whole. ``PIVOTS`` of its members serve as references:
+a member within ``NEAR`` bits of one is linked to it, so a large group of copies costs
+one comparison a member and is not compared within itself. By the triangle
+inequality such a member can be linked only to others within twice ``NEAR`` of that
+reference, and these two sides meet in tiles of ``CHUNK`` by ``CHUNK``. What is near no
+reference goes on under a further shared hash, any of the ``WIDE`` ones (linked
+documents share three of them but for one in 10 million), and what still lies in a
+large bucket after ``LEVELS`` hashes meets in tiles, all against all.
 
 Nulls: a null text, or one without words, has fingerprint zero and is linked
 like any other. Rows with null id get a fingerprint and component, but no null
@@ -45,7 +51,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -61,7 +67,7 @@ PIVOTS = 16
 _CHUNK = 1 << 16
 
 NEAR_WORDS, WIDE, NEAR, SLOTS_NEAR = 5, 16, 170, 4
-NEAR_BUCKET = 1024
+NEAR_BUCKET, CHUNK, LEVELS = 1024, 4096, 3
 #: Near copies differ in no more of the first 64 bits; a cheap first look.
 _NEAR_FIRST = 28
 
@@ -107,15 +113,15 @@ def _mixed(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketch(text: bytes | None) -> tuple[list[int], bytes]:
-    """The least hashes and the wide fingerprint of the text's set of 5-word shingles."""
+    """The ``WIDE`` least hashes and the wide fingerprint of the text's set of 5-word shingles."""
     words = text.lower().split() if text else []
     runs = [b" ".join(words[i : i + NEAR_WORDS]) for i in range(max(1, len(words) - NEAR_WORDS + 1))]
     hashes = np.unique(np.fromiter((xxhash.xxh64_intdigest(r, SEED) for r in runs), dtype=np.uint64, count=len(runs)))
     ones = np.zeros(64 * WIDE, dtype=np.int64)
-    least = np.full(SLOTS_NEAR, (1 << 64) - 1, dtype=np.uint64)
+    least = np.full(WIDE, (1 << 64) - 1, dtype=np.uint64)
     for at in range(0, len(hashes), 4096):
         x = _mixed(hashes[at : at + 4096])
-        least = np.minimum(least, x[:, :SLOTS_NEAR].min(axis=0))
+        least = np.minimum(least, x.min(axis=0))
         ones += np.unpackbits(x.view(np.uint8).reshape(len(x), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
     return least.view(np.int64).tolist(), np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes()
 
@@ -340,75 +346,188 @@ def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     return map_texts(docs, make, fields, keys=(key,), text=text)
 
 
+def _whole_buckets(batches: Iterable[pa.RecordBatch], marks: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """The rows of sorted batches, one bucket (rows of equal ``marks``) after the other."""
+
+    def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in marks]
+        new = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        starts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for s, e in zip(starts, starts[1:]):
+            yield batch.slice(s, e - s)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        *whole, last = parts(batch)
+        if held and [batch.column(c)[0] for c in marks] != [held[0].column(c)[0] for c in marks]:
+            yield pa.concat_batches(held)
+            held = []
+        if whole:
+            yield pa.concat_batches([*held, whole[0]])
+            yield from whole[1:]
+            held = []
+        held.append(last)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _wide_of(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("wide").to_pylist()), dtype="<u8").reshape(batch.num_rows, WIDE)
+
+
+def _bits_apart(wide: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(wide ^ one).sum(axis=1, dtype=np.int32)
+
+
 def _near_in_buckets(kind: T.DataType) -> Callable:
-    """Rows (slot, key, salt, h, wide), sorted, of whole buckets. Out: links (a, b)."""
+    """Rows (mask, key, tile, side, h, wide), sorted, of whole tiles. Out: links (a, b) between
+    the sides, or among all rows where there is one side."""
     arrow = to_arrow_schema(T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
 
-    def links_of(ids: list, wide: np.ndarray) -> list[tuple]:
-        left, found = np.arange(len(ids)), []
-        while len(left) > 1:
-            root, left = int(left[0]), left[1:]
-            front = [root]
-            while front and len(left):
-                x = front.pop()
-                near = left[np.bitwise_count(wide[left, 0] ^ wide[x, 0]) <= _NEAR_FIRST]
-                near = near[np.bitwise_count(wide[near] ^ wide[x]).sum(axis=1, dtype=np.int32) <= NEAR]
+    def links_of(ids: list, side: np.ndarray, wide: np.ndarray) -> list[tuple]:
+        first = np.ascontiguousarray(wide[:, 0])
+        both = len(np.unique(side)) > 1
+        # Unvisited rows by side; a row meets those of the other side, or of its own where there is but one.
+        left = [np.flatnonzero(side == s) for s in (0, 1)] if both else [np.arange(len(ids))]
+        found = []
+        while all(map(len, left)):
+            root, left[0] = int(left[0][0]), left[0][1:]
+            front = [(root, 0)]
+            while front:
+                x, own = front.pop()
+                meets = 1 - own if both else 0
+                if not len(left[meets]):
+                    continue
+                near = left[meets][np.bitwise_count(first[left[meets]] ^ first[x]) <= _NEAR_FIRST]
+                near = near[_bits_apart(wide[near], wide[x]) <= NEAR]
                 if len(near):
                     found += [(ids[m], ids[root]) for m in near.tolist()]
-                    front += near.tolist()
-                    left = np.setdiff1d(left, near, assume_unique=True)
+                    front += [(m, meets) for m in near.tolist()]
+                    left[meets] = np.setdiff1d(left[meets], near, assume_unique=True)
         return found
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def solved(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            marks = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("slot", "key", "salt")]
-            new = np.any([m[1:] != m[:-1] for m in marks], axis=0)
-            starts = np.concatenate([[0], np.flatnonzero(new) + 1, [batch.num_rows]]).tolist()
-            ids, raw = batch.column("h"), batch.column("wide")
-            found = []
-            for s, e in zip(starts, starts[1:]):
-                if e - s > 1:
-                    wide = np.frombuffer(b"".join(raw.slice(s, e - s).to_pylist()), dtype="<u8").reshape(e - s, WIDE)
-                    found += links_of(ids.slice(s, e - s).to_pylist(), wide)
-            if found:
+        found: list[tuple] = []
+        for bucket in _whole_buckets(batches, ("mask", "key", "tile")):
+            if bucket.num_rows > 1:
+                found += links_of(bucket.column("h").to_pylist(), bucket.column("side").to_numpy(zero_copy_only=False), _wide_of(bucket))
+            if len(found) >= 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            last = [batch.column(c)[batch.num_rows - 1] for c in ("slot", "key", "salt")]
-            first = [batch.column(c)[0] for c in ("slot", "key", "salt")]
-            if first == last:  # the bucket may go on
+    return run
+
+
+#: What a member of a large bucket is to a reference, or to the whole bucket.
+_CORE, _SHELL, _REST = 0, 1, 2
+
+
+def _around_pivots(schema: T.StructType) -> Callable:
+    """Rows (mask, key, salt, place, h, wide), sorted: references have a ``place`` from 0, members -1.
+    Out: (mask, key, pivot, role, h, b): a member is core of the first reference within ``NEAR``
+    bits (``b`` is that reference), shell of every earlier one within twice as many, or else rest."""
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket in _whole_buckets(batches, ("mask", "key", "salt")):
+            place = bucket.column("place").to_numpy(zero_copy_only=False)
+            wide, ids = _wide_of(bucket), bucket.column("h").to_pylist()
+            members, pivots = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
+            if not len(members):
                 continue
-            whole = pa.concat_batches(held)
-            mark = np.all([whole.column(c).to_numpy(zero_copy_only=False) == x.as_py() for c, x in zip(("slot", "key", "salt"), last)], axis=0)
-            cut_at = int(np.argmax(mark))
-            yield from solved(whole.slice(0, cut_at))
-            held = [whole.slice(cut_at)]
-        if held:
-            yield from solved(pa.concat_batches(held))
+            apart = np.stack([_bits_apart(wide[members], wide[p]) for p in pivots], axis=1)
+            near = apart <= NEAR
+            core = np.where(near.any(axis=1), near.argmax(axis=1), len(pivots))
+            rows = [(int(place[pivots[c]]), _CORE, ids[m], ids[pivots[c]]) for m, c in zip(members, core) if c < len(pivots)]
+            rows += [(-1, _REST, ids[m], None) for m, c in zip(members, core) if c == len(pivots)]
+            shell = (apart <= 2 * NEAR) & (np.arange(len(pivots)) < core[:, None])
+            rows += [(int(place[pivots[p]]), _SHELL, ids[members[m]], None) for m, p in zip(*np.nonzero(shell))]
+            same = [[bucket.column(c)[0].as_py()] * len(rows) for c in ("mask", "key")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip([*same, *zip(*rows)], arrow)], schema=arrow)
 
     return run
 
 
+def _tile(pivot: Column, one: Column, other: Column) -> Column:
+    """A number for a tile of two chunks, the lesser bits for the chunks."""
+    return ((pivot + 1) * (1 << 50) + one * (1 << 25) + other).cast("long")
+
+
+def _chunks(n: str) -> Column:
+    return F.ceil(F.col(n) / CHUNK).cast("long")
+
+
+def _sides_in_tiles(around: DataFrame) -> DataFrame:
+    """Core against shell of each reference: (mask, key, tile, side, h)."""
+    of = ["mask", "key", "pivot"]
+    sizes = around.where(F.col("role") != _REST).groupBy(*of).agg(F.count_if(F.col("role") == _CORE).alias("n0"), F.count_if(F.col("role") == _SHELL).alias("n1"))
+    both = around.where(F.col("role") != _REST).join(sizes.where("n0 > 0 and n1 > 0"), of)
+    is_core = F.col("role") == _CORE
+    own = F.pmod(F.xxhash64("h", F.lit(3)), F.when(is_core, _chunks("n0")).otherwise(_chunks("n1")))
+    meets = F.explode(F.sequence(F.lit(0).cast("long"), F.when(is_core, _chunks("n1")).otherwise(_chunks("n0")) - 1))
+    dealt = both.withColumn("own", own).withColumn("other", meets)
+    tile = F.when(is_core, _tile(F.col("pivot"), F.col("own"), F.col("other"))).otherwise(_tile(F.col("pivot"), F.col("other"), F.col("own")))
+    return dealt.select("mask", "key", tile.alias("tile"), F.col("role").alias("side"), "h")
+
+
+def _all_in_tiles(rest: DataFrame) -> DataFrame:
+    """All members of each bucket (mask, key) against all: (mask, key, tile, side, h)."""
+    sizes = rest.groupBy("mask", "key").agg(F.count("*").alias("m")).where("m > 1")
+    own = F.pmod(F.xxhash64("h", F.lit(3)), _chunks("m"))
+    dealt = rest.join(sizes, ["mask", "key"]).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), _chunks("m") - 1)))
+    tile = _tile(F.lit(-1), F.least("own", "other"), F.greatest("own", "other"))
+    return dealt.select("mask", "key", tile.alias("tile"), (F.col("own") > F.col("other")).cast("int").alias("side"), "h")
+
+
 def near_links(sketches: DataFrame) -> DataFrame:
-    """(a, b): links among rows (h, least, wide) with unique h."""
-    each = sketches.select("h", "wide", "least", F.posexplode("least").alias("slot", "key"))
-    sizes = lambda df, label: cut(df.groupBy("slot", "key").agg(F.count("*").alias("n")).where("n > 1"), label)
-    shared = each.join(sizes(each, "shared"), ["slot", "key"])
-    plain = shared.where(F.col("n") <= NEAR_BUCKET).select("slot", "key", F.lit(0).alias("salt"), "h", "wide")
-    # Of a hot bucket, those that share a second hash meet.
-    second = shared.where(F.col("n") > NEAR_BUCKET).select("h", "wide", "slot", "key", F.posexplode("least").alias("other", "next")).where("other <> slot")
-    second = second.select("h", "wide", (F.col("slot") * SLOTS_NEAR + F.col("other") + SLOTS_NEAR).alias("slot"), F.xxhash64("key", "next").alias("key"))
-    again = second.join(sizes(second, "shared"), ["slot", "key"])
-    chunks = F.ceil(F.col("n") / NEAR_BUCKET).cast("int")
-    dealt = again.select("slot", "key", F.pmod(F.xxhash64("h", "slot"), chunks).cast("int").alias("salt"), "h", "wide")
+    """(a, b): links that join rows (h, least, wide), unique in h, as their near pairs do."""
     kind = sketches.schema["h"].dataType
-    rows = plain.unionByName(dealt).repartition("slot", "key", "salt").sortWithinPartitions("slot", "key", "salt", "h")
-    return rows.mapInArrow(_near_in_buckets(kind), T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
+    wide, least = sketches.select("h", "wide"), sketches.select("h", "least")
+    link = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    around_schema = T.StructType([T.StructField(c, T.LongType()) for c in ("mask", "key")] + [T.StructField(c, T.IntegerType()) for c in ("pivot", "role")] + [T.StructField("h", kind), T.StructField("b", kind)])
+
+    def under(rows: DataFrame, hashes: Column) -> DataFrame:
+        return rows.select("*", F.posexplode(hashes).alias("slot", "value")).withColumn("bit", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot")))
+
+    def solved(rows: DataFrame) -> DataFrame:
+        dealt = rows.join(wide, "h").repartition("mask", "key", "tile").sortWithinPartitions("mask", "key", "tile", "side", "h")
+        return cut(dealt.select("mask", "key", "tile", "side", "h", "wide").mapInArrow(_near_in_buckets(kind), link), "near-links")
+
+    # A bucket is a set of slots (mask) and a digest of their hashes that does not depend on their order.
+    digest = F.xxhash64("slot", "value")
+    rows = under(least, F.slice("least", 1, SLOTS_NEAR)).select(F.col("bit").alias("mask"), digest.alias("key"), "h")
+    found = []
+    for level in range(LEVELS):
+        sizes = cut(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+        held = rows.join(sizes, ["mask", "key"])
+        small = held.where(F.col("n") <= NEAR_BUCKET).select("mask", "key", F.lit(0).cast("long").alias("tile"), F.lit(0).alias("side"), "h")
+        if sizes.where(F.col("n") > NEAR_BUCKET).isEmpty():
+            found.append(solved(small))
+            break
+        salts = F.ceil(F.col("n") / NEAR_BUCKET).cast("long")
+        large = cut(held.where(F.col("n") > NEAR_BUCKET).join(wide, "h").select("mask", "key", salts.alias("salts"), "h", "wide"), "large")
+        place = F.pmod(F.xxhash64("h"), F.lit(PIVOTS)).cast("int")
+        pivots = large.groupBy("mask", "key", place.alias("place")).agg(F.min(F.struct(F.xxhash64("h", F.lit(7)), "h", "wide", "salts")).alias("p"))
+        pivots = pivots.select("mask", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("p.salts") - 1)).alias("salt"), "place", "p.h", "p.wide")
+        members = large.select("mask", "key", F.pmod(F.xxhash64("h", F.lit(1)), F.col("salts")).alias("salt"), F.lit(-1).alias("place"), "h", "wide")
+        dealt = members.unionByName(pivots).repartition("mask", "key", "salt").sortWithinPartitions("mask", "key", "salt", "place", "h")
+        around = cut(dealt.mapInArrow(_around_pivots(around_schema), around_schema), "around")
+        found.append(around.where("b is not null").select(F.col("h").alias("a"), "b"))
+        rest = around.where(F.col("role") == _REST).select("mask", "key", "h")
+        tiles = small.unionByName(_sides_in_tiles(around))
+        if level == LEVELS - 1:
+            tiles = tiles.unionByName(_all_in_tiles(rest))
+        found.append(solved(tiles))
+        further = under(rest.join(least, "h"), F.col("least")).where(F.col("mask").bitwiseAND(F.col("bit")) == 0)
+        rows = further.select(F.col("mask").bitwiseOR(F.col("bit")).alias("mask"), F.col("key").bitwiseXOR(digest).alias("key"), "h").distinct()
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
+    return links
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

@@ -140,11 +140,12 @@ def _changed(rng, words, share):
 
 @pytest.mark.parametrize("bucket", [1024, 20])
 def test_near_copies(spark, monkeypatch, bucket):
-    """Copies with changed words go, in small buckets and in one that is dealt again; unlike documents stay."""
+    """Copies with changed words go, in small buckets and in one too large to be compared whole; unlike documents stay."""
     import random
 
     rng = random.Random(9)
     monkeypatch.setattr(simhash, "NEAR_BUCKET", bucket)
+    monkeypatch.setattr(simhash, "CHUNK", bucket // 2)
     shared = [f"s{n}" for n in range(30)]  # a passage in every other document
     clean = [(i, " ".join([f"w{rng.randrange(3000)}" for _ in range(200)] + shared * (i % 2))) for i in range(120)]
     base = [f"b{n}" for n in range(300)]
@@ -155,6 +156,24 @@ def test_near_copies(spark, monkeypatch, bucket):
     assert sum(1000 <= i < 2000 for i in got) == 1
 
 
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_no_near_copy_is_lost_in_large_buckets(spark, monkeypatch, levels):
+    """Copies, half-copies around them and unlike documents that share passages: the links join what all pairs join."""
+    import random
+
+    rng = random.Random(levels)
+    for name, value in (("NEAR_BUCKET", 12), ("CHUNK", 7), ("LEVELS", levels), ("PIVOTS", 3)):
+        monkeypatch.setattr(simhash, name, value)
+    bases = [[f"b{g}x{n}" for n in range(200)] for g in range(4)]
+    texts = [_changed(rng, bases[0], rng.choice([0.005, 0.02, 0.03, 0.04])) for _ in range(120)]
+    texts += [_changed(rng, bases[1], 0.02) for _ in range(25)] + [_changed(rng, bases[2] + bases[3][:100], 0.03) for _ in range(25)]
+    texts += [" ".join([f"w{rng.randrange(3000)}" for _ in range(30)] + bases[3][:60]) for _ in range(60)]
+    docs = list(enumerate(texts))
+    got = sorted(r["doc_id"] for r in simhash.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert got == sorted(brute.deduplicated(docs))
+    assert 60 < len(got) < len(docs) - 60
+
+
 def test_topk(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     vectors = [(0, [0.5, -0.25]), (100, [1.0, 1.0]), (100, [1.0, 1.0]), (7, None), (8, [1.0, None]), (9, [1.0, float("inf")]), (10, [float("nan"), 0.0]), (None, [1.0, 1.0]), (11, [1.0])]
