@@ -34,7 +34,7 @@ one comparison a member and is not compared within itself. By the triangle
 inequality such a member can be linked only to others within twice ``NEAR`` of that
 reference, and these two sides meet in tiles of ``CHUNK`` by ``CHUNK``. What is near no
 reference goes on under a further shared hash, any of the ``WIDE`` ones (linked
-documents share three of them but for one in 10 million), and what still lies in a
+documents share two of them but for one in a billion), and what still lies in a
 large bucket after ``LEVELS`` hashes meets in tiles, all against all.
 
 Nulls: a null text, or one without words, has fingerprint zero and is linked
@@ -67,7 +67,7 @@ PIVOTS = 16
 _CHUNK = 1 << 16
 
 NEAR_WORDS, WIDE, NEAR, SLOTS_NEAR = 5, 16, 170, 4
-NEAR_BUCKET, CHUNK, LEVELS = 1024, 4096, 3
+NEAR_BUCKET, CHUNK, LEVELS = 1024, 4096, 2
 #: Near copies differ in no more of the first 64 bits; a cheap first look.
 _NEAR_FIRST = 28
 
