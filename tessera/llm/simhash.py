@@ -542,7 +542,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     n, ids = kept.agg(F.count("*"), F.countDistinct("doc_id")).first()
     plain, at = numbered(docs)
     if n == ids:
-        ones = prints.join(kept.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("h"), "least", "wide")
+        # Written, as near_links reads them for each round and each size of bucket.
+        ones = cut(prints.join(kept.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("h"), "least", "wide"), "ones")
         copies = cut(components(near_links(ones), "near").select(F.col("a").alias("kept")), "copies")
         stay = kept.select(F.col("doc_id").alias("kept")).join(copies, "kept", "left_anti")
         one = plain.join(stay, F.col(at["doc_id"]) == F.col("kept"), "left_semi")
@@ -563,6 +564,7 @@ def _one_of_each(docs: DataFrame, prints: DataFrame, key: str, text: str) -> Dat
     # A component without any id is as good as one id: its least text stays.
     label = F.coalesce(F.col("component").cast("string"), F.lit("null"))
     best = cut(rows.groupBy(label.alias("group")).agg(F.min("h").alias("best")), "best")
-    copies = cut(components(near_links(by_text.join(best.select(F.col("best").alias("h")), "h", "left_semi").select("h", "least", "wide")), "near").select(F.col("a").alias("h")), "copies")
+    ones = cut(by_text.join(best.select(F.col("best").alias("h")), "h", "left_semi").select("h", "least", "wide"), "ones")
+    copies = cut(components(near_links(ones), "near").select(F.col("a").alias("h")), "copies")
     one = rows.join(best, (F.col("h") == F.col("best")) & (label == F.col("group")), "left_semi").join(copies, "h", "left_anti")
     return one.dropDuplicates(["h", key]).select(*docs.columns)

@@ -174,6 +174,16 @@ def test_no_near_copy_is_lost_in_large_buckets(spark, monkeypatch, levels):
     assert 60 < len(got) < len(docs) - 60
 
 
+@pytest.mark.parametrize("ids", [(1, 2, 3), (1, 1, 3)])
+def test_kept_sketches_are_joined_once(spark, monkeypatch, ids):
+    """``near_links`` reads its rows many times, so they are a table and no join."""
+    plans, links = [], simhash.near_links
+    monkeypatch.setattr(simhash, "near_links", lambda rows: plans.append(rows._jdf.queryExecution().toString()) or links(rows))
+    texts = ["one two three four five six", "seven eight nine ten eleven", "a b c d e f g"]
+    assert simhash.deduplicated(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")).count() == len(set(ids))
+    assert len(plans) == 1 and "Join" not in plans[0]
+
+
 def test_topk(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     vectors = [(0, [0.5, -0.25]), (100, [1.0, 1.0]), (100, [1.0, 1.0]), (7, None), (8, [1.0, None]), (9, [1.0, float("inf")]), (10, [float("nan"), 0.0]), (None, [1.0, 1.0]), (11, [1.0])]
